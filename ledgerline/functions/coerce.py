@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,7 +112,7 @@ def to_unsigned(value: Column, kind: T.DataType, column_type: str = "uint64") ->
         number = _whole(value, kind)
     else:
         return _rejected(column_type)
-    return F.when((number >= 0) & (number <= F.lit(high)), number).try_cast(COLUMN_TYPES[column_type])
+    return F.when((number >= 0) & (number <= F.lit(Decimal(high))), number).try_cast(COLUMN_TYPES[column_type])
 
 
 def to_floating(value: Column, kind: T.DataType, column_type: str = "double") -> Column:

@@ -7,6 +7,7 @@ accept more (spaces, suffixes, partial dates), so a cast never decides alone.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ def unsigned_number(text: Column) -> Column:
     number = F.when(
         F.rlike(text, F.lit(UNSIGNED)) & (F.length(digits) <= 20), digits.try_cast("decimal(38,0)")
     )
-    return F.when(number <= F.lit(INTEGER_RANGES["uint64"][1]), number).cast(UINT64)
+    return F.when(number <= F.lit(Decimal(INTEGER_RANGES["uint64"][1])), number).cast(UINT64)
 
 
 def floating_number(text: Column) -> Column:

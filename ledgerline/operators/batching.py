@@ -125,7 +125,7 @@ def _cuts_of(rows: pd.DataFrame, max_rows: int, max_bytes: int) -> tuple[pd.Data
 def _candidates(max_rows: int, max_bytes: int):
     """Rows that may be a segment's first cut, with the state their chain leaves."""
 
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows, cuts = _cuts_of(rows, max_rows, max_bytes)
         last_possible = min(cuts.first_cut(0, 0), cuts.n - 1)
         take = np.arange(last_possible + 1)
@@ -222,7 +222,7 @@ STATE = "client string, segment bigint, used bigint, real bigint, number bigint"
 def _starts(max_rows: int, max_bytes: int):
     """The batch starts of one segment, given the state carried into it."""
 
-    def run(key, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         rows, cuts = _cuts_of(rows, max_rows, max_bytes)
         state = states.iloc[0]
         number = int(state["number"])
@@ -329,6 +329,16 @@ def batch_split(
     )
 
 
+def ordered_list(order: Column, item: Column) -> Column:
+    """Aggregate of a group's items in order; items may hold maps."""
+
+    def by_order(a: Column, b: Column) -> Column:
+        return F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)
+
+    pairs = F.collect_list(F.struct(order.alias("o"), item.alias("r")))
+    return F.transform(F.array_sort(pairs, by_order), lambda x: x["r"])
+
+
 def batch_envelopes(
     df: DataFrame,
     client: str = "client_id",
@@ -350,11 +360,11 @@ def batch_envelopes(
     ]
     if records is not None:
         aggregates.append(
-            F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), records.alias("r")))).alias("_records")
+            ordered_list(F.col(order), records).alias("_records")
         )
     out = df.groupBy(client, "batch_no").agg(*aggregates).filter(F.col("next_position").isNotNull())
     if records is not None:
-        out = out.withColumn("records", F.transform("_records", lambda x: x["r"])).drop("_records")
+        out = out.withColumnRenamed("_records", "records")
     return out
 
 

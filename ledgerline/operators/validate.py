@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.streams import SEGMENT, with_segment
+from ledgerline.session import stage
 
 CHAIN_WIDTH = 1 << 18
 
@@ -69,7 +70,7 @@ def status_code(status: Column, message: Column) -> Column:
     )
 
 
-def _effects(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _effects(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """A segment's map of states, built from its last batch backwards.
 
     Rows are (state in, state out); a null state in stands for every state, as
@@ -123,7 +124,7 @@ def _compose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 STATE = "client_id string, segment bigint, state string"
 
 
-def _judge(key, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+def _judge(key: tuple, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
     """Status of each batch of a segment from the state carried into it."""
     rows = rows.sort_values("arrival", kind="stable", ignore_index=True)
     state = states["state"].iloc[0] if len(states) else None
@@ -171,6 +172,9 @@ def position_validate(
         "client_id", "arrival", F.coalesce("reset", F.lit(False)).alias("reset"),
         "current_position", "next_position", "record_error",
     )
+    # Envelopes are read several times below and are small: write them once,
+    # so that whatever made them (mapping all records, say) runs once.
+    narrow = stage(narrow, "envelopes")
 
     def empty(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit("")) == ""
@@ -194,6 +198,7 @@ def position_validate(
         .groupBy("client_id", "segment")
         .applyInPandas(_effects, EFFECT)
     )
+    effects = stage(effects, "effects")
     stored = None if positions is None else positions.select("client_id", F.col("exp_pos").alias("stored"))
     # Only states that some segment leaves, or that are stored, can enter one.
     reachable = effects.select("client_id", F.col("state_out").alias("state_in"))
