@@ -82,10 +82,11 @@ def q_skip_unreadable(spark, sf):
     return _show_journal(to_records(skip_unreadable(read_entries(journal_lines(spark, sf)))))
 
 
-def batch_lines(spark, sf):
+def batch_lines(spark, sf, keep=()):
     """One JSON line per envelope of 50 records; every 11th line is cut short."""
-    rows = views.numbered(spark, sf)
-    record = F.struct("message", "seqno", "priority", "syslog_identifier", "systemd_unit", "realtime_ts", "fields")
+    rows = views.numbered(spark, sf).withColumn("parsed", F.lit(None).cast("map<string,string>"))
+    rows = parse_record(rows, views.MESSAGE_PATTERN, views.UNIT_PATTERN)
+    record = F.struct("message", "parsed", "seqno", "priority", "syslog_identifier", "systemd_unit", "realtime_ts", "fields")
     packed = rows.groupBy("client_id", "arrival").agg(ordered_list(F.col("rn"), record).alias("records"))
     envelopes = views.envelopes(spark, sf, rows).join(packed, ["client_id", "arrival"])
     line = F.to_json(
@@ -93,6 +94,7 @@ def batch_lines(spark, sf):
     )
     cut = F.expr("left(line, length(line) - 2)")
     return envelopes.select("arrival", line.alias("line")).select(
+        *keep,
         F.when(F.col("arrival") % 11 == 10, cut).otherwise(F.col("line")).alias("value")
     )
 

@@ -123,10 +123,15 @@ def export_query(
 
 @dataclass(frozen=True)
 class ServedBatches:
-    """What a run of batches leaves: verdicts, rows to write, positions."""
+    """What a run of batches leaves: verdicts, rows to write, positions.
+
+    ``updates`` are the positions of clients with an accepted batch;
+    ``positions`` is everything stored before with these applied.
+    """
 
     verdicts: DataFrame
     rows: DataFrame
+    updates: DataFrame
     positions: DataFrame
 
 
@@ -164,4 +169,4 @@ def serve_batches(
         F.struct("_arrival", "_record_index", "_client_id"),
     ).select(*names)
     updated = accepted_positions(verdicts, position_update(mapped, by).drop("ts_wall"))
-    return ServedBatches(verdicts, latest, upsert_positions(positions, updated))
+    return ServedBatches(verdicts, latest, updated, upsert_positions(positions, updated))

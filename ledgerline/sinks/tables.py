@@ -60,10 +60,12 @@ class LogTable(_Versioned):
         self.keys = list(keys)
         self.compact_after = compact_after
 
-    def upsert(self, rows: DataFrame, batch_id: int, order: str | list[str]) -> None:
-        names = [order] if isinstance(order, str) else order
-        latest = latest_by_key(rows, self.keys, F.struct(*names)).select(*self.schema.names)
-        latest.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+    def upsert(self, rows: DataFrame, batch_id: int, order: str | list[str] | None = None) -> None:
+        """Write one batch; ``order`` picks among rows of one key, if there may be several."""
+        if order is not None:
+            names = [order] if isinstance(order, str) else order
+            rows = latest_by_key(rows, self.keys, F.struct(*names))
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
         state = self._current()
         batches = state.get("batches", [])
         if batch_id not in batches and batch_id > state.get("folded", -1):
