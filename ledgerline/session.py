@@ -28,6 +28,12 @@ def build_session(app: str = "ledgerline", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Runtime settings the library relies on, for a session made elsewhere."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by ``spark.checkpoint.dir``.
 
