@@ -8,113 +8,52 @@ from pyspark.sql import functions as F
 from ledgerline.functions.regex import Pattern, compile_pattern
 
 BODY_GROUP = "P_MESSAGE"
-# Separates groups inside one regexp_replace result. Text that already holds
-# it takes the group-by-group path instead.
-MARK = "\u0001"
 
 
-def capture(text: Column, pattern: Pattern) -> Column:
-    """Array of all named groups' text in order, or null when nothing matches.
+def _matched_text(message: str, pattern: Pattern) -> Column:
+    """The text the pattern matches: all of it, else its first line, else null."""
+    text = F.col(message)
+    line_end = F.instr(text, "\n")
+    first_line = F.left(text, line_end - 1)
+    java = F.lit(pattern.java)
+    return F.when(F.rlike(text, java), text).when((line_end > 0) & F.rlike(first_line, java), first_line)
 
-    One regex evaluation yields every group: the pattern is wrapped so that it
-    consumes the whole text, and replaced by its marked groups.
-    """
-    wrapped = f"(?s)\\A.*?(?:(?-s:{pattern.java}))(?s:.*)\\z"
-    template = MARK + "".join(f"${i}{MARK}" for _, i in pattern.named)
-    replaced = F.regexp_replace(text, F.lit(wrapped), F.lit(template))
-    fast = F.when(
-        F.startswith(replaced, F.lit(MARK)), F.slice(F.split(replaced, MARK), 2, max(len(pattern.groups), 1))
-    )
-    one_by_one = F.when(
-        F.rlike(text, F.lit(pattern.java)),
-        F.array(*[F.regexp_extract(text, pattern.java, i) for _, i in pattern.named])
-        if pattern.groups
-        else F.array(F.lit("")),
-    )
-    return F.when(F.contains(text, F.lit(MARK)), one_by_one).otherwise(fast)
-
-
-def _entries(groups: Column, pattern: Pattern) -> list[Column]:
-    return [
-        F.struct(F.lit(name).alias("key"), groups[k].alias("value"))
-        for k, (name, _) in enumerate(pattern.named)
-    ]
-
-
-def _merge(existing: Column | None, found: Column) -> Column:
-    """Entries with non-empty text; keys already present keep their value."""
-    kept = F.filter(found, lambda e: e["value"] != "")
-    if existing is None:
-        return F.map_from_entries(kept)
-    fresh = F.filter(kept, lambda e: ~F.map_contains_key(existing, e["key"]))
-    return F.when(existing.isNull(), F.map_from_entries(kept)).otherwise(
-        F.map_concat(existing, F.map_from_entries(fresh))
-    )
 
+def _groups(text: Column, pattern: Pattern) -> dict[str, Column]:
+    """Group text by name; empty where the group did not take part."""
+    return {name: F.regexp_extract(text, pattern.java, i) for name, i in pattern.named}
 
-def parse_message(
-    df: DataFrame,
-    pattern: str,
-    message: str = "message",
-    parsed: str = "parsed",
-    matched: str = "matched",
-) -> DataFrame:
-    """Add the message pattern's groups to ``parsed`` and a ``matched`` flag.
 
-    The whole text is tried first, then its first line; in the second case the
-    remaining lines are appended to the body group.
+def _rest(message: str) -> Column:
+    """Lines after the first, empty when the whole message matched."""
+    return F.when(
+        F.length("_text") < F.length(message),
+        F.expr(f"substring(`{message}`, instr(`{message}`, '\\n') + 1)"),
+    ).otherwise("")
+
+
+def _with_body(groups: dict[str, Column], rest: Column) -> dict[str, Column]:
+    if BODY_GROUP not in groups:
+        return groups
+    body = groups[BODY_GROUP]
+    joined = F.when(body == "", rest).otherwise(F.concat(body, F.lit("\n"), rest))
+    return {**groups, BODY_GROUP: F.when(rest != "", joined).otherwise(body)}
+
+
+def _collect(existing: Column | None, groups: dict[str, Column], override: Column | None = None) -> Column:
+    """``existing`` plus the non-empty groups; keys already there keep their value.
+
+    Where ``override`` holds, the body group replaces an existing one.
     """
-    compiled = compile_pattern(pattern)
-    text = F.col(message)
-    line_end = F.instr(text, "\n")
-    first_line = F.when(line_end > 0, F.left(text, line_end - 1))
-    rest = F.expr(f"substring(`{message}`, instr(`{message}`, '\\n') + 1)")
-
-    df = df.withColumn("_whole", capture(text, compiled))
-    df = df.withColumn(
-        "_first", F.when(F.col("_whole").isNull() & (line_end > 0), capture(first_line, compiled))
-    )
-    groups = F.coalesce(F.col("_whole"), F.col("_first"))
-    existing = F.col(parsed) if parsed in df.columns else None
-    if compiled.groups:
-        result = _merge(existing, F.array(*_entries(groups, compiled)))
-    else:
-        result = existing if existing is not None else F.create_map().cast("map<string,string>")
-    if BODY_GROUP in compiled.groups:
-        body = F.col("_first")[list(compiled.groups).index(BODY_GROUP)]
-        joined = F.when(body == "", rest).otherwise(F.concat(body, F.lit("\n"), rest))
-        result = F.when(
-            F.col("_first").isNotNull() & (rest != ""),
-            F.map_concat(
-                F.map_filter(result, lambda k, _: k != BODY_GROUP),
-                F.create_map(F.lit(BODY_GROUP), joined),
-            ),
-        ).otherwise(result)
-    fallback = existing if existing is not None else F.lit(None).cast("map<string,string>")
-    return df.withColumns(
-        {
-            matched: groups.isNotNull(),
-            parsed: F.when(groups.isNotNull(), result).otherwise(fallback),
-        }
-    ).drop("_whole", "_first")
-
-
-def parse_unit(
-    df: DataFrame, pattern: str, unit: str = "systemd_unit", parsed: str = "parsed"
-) -> DataFrame:
-    """Add the unit pattern's groups to ``parsed``; message groups win on a clash."""
-    compiled = compile_pattern(pattern)
-    if not compiled.groups:
-        return df
-    existing = F.col(parsed) if parsed in df.columns else None
-    df = df.withColumn("_unit", capture(F.col(unit), compiled))
-    fallback = existing if existing is not None else F.lit(None).cast("map<string,string>")
-    return df.withColumn(
-        parsed,
-        F.when(
-            F.col("_unit").isNotNull(), _merge(existing, F.array(*_entries(F.col("_unit"), compiled)))
-        ).otherwise(fallback),
-    ).drop("_unit")
+    entries = F.array(*[F.struct(F.lit(n).alias("key"), v.alias("value")) for n, v in groups.items()])
+    found = F.map_from_entries(F.filter(entries, lambda e: e["value"] != ""))
+    if existing is None:
+        return found
+    kept = existing
+    if override is not None:
+        kept = F.when(override, F.map_filter(existing, lambda k, _: k != BODY_GROUP)).otherwise(existing)
+    fresh = F.map_filter(found, lambda k, _: ~F.map_contains_key(kept, k))
+    return F.when(F.coalesce(F.size(existing), F.lit(0)) <= 0, found).otherwise(F.map_concat(kept, fresh))
 
 
 def parse_record(
@@ -122,15 +61,57 @@ def parse_record(
     message_pattern: str | None = None,
     unit_pattern: str | None = None,
     no_match: str = "send_raw",
+    message: str = "message",
+    unit: str = "systemd_unit",
+    parsed: str = "parsed",
+    matched: str | None = None,
 ) -> DataFrame:
-    """Both extractions; with ``no_match='skip'`` unmatched messages are dropped."""
+    """Add the groups of both patterns to the ``parsed`` map.
+
+    The message pattern is tried on the whole text, then on its first line; in
+    the second case the other lines are appended to the body group. With
+    ``no_match='skip'`` messages that do not match are dropped. A unit that
+    does not match never drops a row, and message groups win on a name clash.
+    """
     if no_match not in ("send_raw", "skip"):
         raise ValueError(f"no_match must be send_raw or skip, not {no_match!r}")
+    columns = df.columns
+    existing = F.col(parsed) if parsed in columns else None
+    groups: dict[str, Column] = {}
+    override = None
     if message_pattern:
-        df = parse_message(df, message_pattern)
+        pattern = compile_pattern(message_pattern)
+        df = df.withColumn("_text", _matched_text(message, pattern))
         if no_match == "skip":
-            df = df.filter("matched")
-        df = df.drop("matched")
+            df = df.filter(F.col("_text").isNotNull())
+        rest = _rest(message)
+        groups = _with_body(_groups(F.col("_text"), pattern), rest)
+        if BODY_GROUP in groups:
+            override = F.coalesce(rest != "", F.lit(False)) & F.col("_text").isNotNull()
+        groups = {n: F.coalesce(v, F.lit("")) for n, v in groups.items()}
     if unit_pattern:
-        df = parse_unit(df, unit_pattern)
-    return df
+        for name, value in _groups(F.col(unit), compile_pattern(unit_pattern)).items():
+            value = F.coalesce(value, F.lit(""))
+            groups[name] = F.when(groups[name] != "", groups[name]).otherwise(value) if name in groups else value
+    if groups:
+        result = _collect(existing, groups, override)
+    elif existing is not None:
+        result = existing
+    else:
+        result = F.create_map().cast("map<string,string>")
+    out = [F.col(c) for c in columns if c != parsed]
+    if matched and message_pattern:
+        out.append(F.col("_text").isNotNull().alias(matched))
+    return df.select(*out, result.alias(parsed))
+
+
+def parse_message(
+    df: DataFrame, pattern: str, message: str = "message", parsed: str = "parsed", matched: str = "matched"
+) -> DataFrame:
+    """The message pattern alone, with a ``matched`` flag."""
+    return parse_record(df, pattern, None, "send_raw", message, parsed=parsed, matched=matched)
+
+
+def parse_unit(df: DataFrame, pattern: str, unit: str = "systemd_unit", parsed: str = "parsed") -> DataFrame:
+    """The unit pattern alone."""
+    return parse_record(df, None, pattern, unit=unit, parsed=parsed)

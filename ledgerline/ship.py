@@ -28,5 +28,10 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     out.write(path, os.path.join("ledgerline", os.path.relpath(path, root)))
-    spark.sparkContext.addPyFile(archive)
+    context = spark.sparkContext
+    context.addPyFile(archive)
+    # Stream processors also start a Python worker beside the driver, which
+    # looks at the path variable only.
+    known = context.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    context.environment["PYTHONPATH"] = os.pathsep.join(p for p in (os.path.dirname(root), known) if p)
     _SHIPPED.add(application)
