@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +42,23 @@ def _running_bytes(column: str):
     return run
 
 
+def in_ranges(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+    """Globally sorted: contiguous ranges of ``order``, each sorted inside its task.
+
+    The order should end in a key, so that a value shared by very many rows
+    can still be split over tasks.
+    """
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
+
+
 def rotate_files(
     df: DataFrame,
     order: list[str],
     limit: int,
     size: str = "line_bytes",
     partitions: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``file_idx`` (from 1) by total bytes of all rows before, in ``order``.
 
@@ -55,13 +66,17 @@ def rotate_files(
     written once; each partition's total then becomes the next one's offset,
     so no single task sees all rows. The offsets frame has one row per
     partition, which bounds what is broadcast.
+
+    ``prepare`` is a row-wise step (rendering, say) to run after the shuffle:
+    range bounds are found by sampling, which would run it a second time.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
-    ranged = (
-        df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    )
-    ranged = ranged.sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id())
+    ranged = in_ranges(df, order, partitions)
+    if prepare is not None:
+        ranged = prepare(ranged)
+    columns = ranged.columns
+    ranged = ranged.withColumn("_range", F.spark_partition_id())
     schema = T.StructType([*ranged.schema.fields, T.StructField("_before", T.LongType())])
     placed = stage(ranged.mapInArrow(_running_bytes(size), schema), "rotate")
     totals = placed.groupBy("_range").agg(F.max(F.col("_before") + F.col(size)).alias("_bytes"))
@@ -73,4 +88,4 @@ def rotate_files(
     )
     whole = placed.join(F.broadcast(offsets), "_range")
     whole = whole.withColumn("bytes_before", F.col("_offset") + F.col("_before"))
-    return whole.select(*df.columns, F.expr(f"bytes_before div {int(limit)} + 1").alias("file_idx"), "bytes_before")
+    return whole.select(*columns, F.expr(f"bytes_before div {int(limit)} + 1").alias("file_idx"), "bytes_before")

@@ -114,11 +114,10 @@ def export_query(
     Sorting and numbering happen in ``rotate_files``: one range shuffle.
     """
     chosen = select_export(log, start, end, filters, time)
-    order = [time, *(ties or [])]
-    keys = [f"_key{i}" for i in range(len(order))]
-    keyed = chosen.select("*", *[F.col(c).alias(k) for c, k in zip(order, keys)])
-    lines = render_rows(keyed, log.columns, keys)
-    return rotate_files(lines, keys, limit).drop(*keys)
+    columns = log.columns
+    return rotate_files(
+        chosen, [time, *(ties or [])], limit, prepare=lambda rows: render_rows(rows, columns)
+    )
 
 
 @dataclass(frozen=True)

@@ -209,9 +209,11 @@ rotated AS (SELECT *, bytes_before // {ROTATE_LIMIT} + 1 AS file_idx FROM r)"""
 
 
 def _rotated(spark, sf):
-    docs = table(spark, sf, "documents")
-    lines = render_rows(docs, ["doc_id", "lang", "source", "text"], ["doc_id"])
-    return rotate_files(lines, ["doc_id"], ROTATE_LIMIT)
+    cells = ["doc_id", "lang", "source", "text"]
+    docs = table(spark, sf, "documents").select(*cells)
+    return rotate_files(
+        docs, ["doc_id"], ROTATE_LIMIT, prepare=lambda rows: render_rows(rows, cells, ["doc_id"])
+    )
 
 
 @query("rotate_files", ROTATED + " SELECT doc_id, line_bytes, bytes_before, file_idx, md5(line) AS digest FROM rotated")

@@ -42,9 +42,11 @@ class _Versioned:
 class LogTable(_Versioned):
     """A keyed table of a base and the batches written since.
 
-    Writing a batch costs the batch alone. Readers apply the batches to the
-    base by key; ``compact`` folds them in. A batch written again under the
-    same id replaces itself.
+    Writing a batch costs the batch and a look at the stored rows of its key
+    range. Almost always none of its keys is stored yet: such a batch is just
+    added to what readers scan, with no merge. Only batches that do replace
+    rows (replays) are applied by key when reading, until ``compact`` folds
+    them in. A batch written again under the same id replaces itself.
     """
 
     def __init__(
@@ -65,39 +67,62 @@ class LogTable(_Versioned):
         if order is not None:
             names = [order] if isinstance(order, str) else order
             rows = latest_by_key(rows, self.keys, F.struct(*names))
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        path = f"{self.path}/batch={batch_id}"
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(path)
         state = self._current()
-        batches = state.get("batches", [])
-        if batch_id not in batches and batch_id > state.get("folded", -1):
-            self._publish({**state, "batches": sorted([*batches, batch_id])})
-        if len(batches) >= self.compact_after:
+        if batch_id <= state.get("folded", -1):
+            return
+        written = self.spark.read.schema(self.schema).parquet(path)
+        state = {
+            **state,
+            "added": [b for b in state.get("added", []) if b != batch_id],
+            "replacing": [b for b in state.get("replacing", []) if b != batch_id],
+        }
+        kind = "replacing" if self._replaces(state, written) else "added"
+        state[kind] = sorted([*state[kind], batch_id])
+        self._publish(state)
+        if len(state["replacing"]) >= self.compact_after:
             self.compact()
 
-    def read(self) -> DataFrame:
-        state = self._current()
-        batches, base = state.get("batches", []), state.get("base")
+    def _replaces(self, state: dict, rows: DataFrame) -> bool:
+        """Whether any key of ``rows`` is stored, looking only at their key range."""
+        lead = self.keys[0]
+        low, high = rows.agg(F.min(lead), F.max(lead)).first()
+        stored = None if low is None else self._read(state)
+        if stored is None:
+            return False
+        near = stored.filter(F.col(lead).between(F.lit(low), F.lit(high))).select(*self.keys)
+        return not near.join(rows.select(*self.keys), self.keys, "left_semi").isEmpty()
+
+    def _read(self, state: dict) -> DataFrame | None:
+        base = [f"{self.path}/{state['base']}"] if state.get("base") else []
+        plain = base + [f"{self.path}/batch={b}" for b in state.get("added", [])]
         reader = self.spark.read.schema(self.schema)
-        stored = reader.parquet(f"{self.path}/{base}") if base else None
-        if not batches:
-            return stored if stored is not None else self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.path}/batch={b}" for b in batches]
+        # One scan over all folders; ``batch=`` in their names is not a column here.
+        stored = reader.option("recursiveFileLookup", "true").parquet(*plain) if plain else None
+        replacing = state.get("replacing", [])
+        if not replacing:
+            return stored
         fresh = (
             self.spark.read.schema(StructType([*self.schema.fields, StructField("batch", LongType())]))
             .option("basePath", self.path)
-            .parquet(*paths)
+            .parquet(*[f"{self.path}/batch={b}" for b in replacing])
         )
-        if len(batches) == 1 and stored is None:
-            return fresh.drop("batch")
         return upsert_rows(stored, fresh, self.keys, "batch").select(*self.schema.names)
 
+    def read(self) -> DataFrame:
+        stored = self._read(self._current())
+        return self.spark.createDataFrame([], self.schema) if stored is None else stored
+
     def compact(self) -> None:
+        """Fold all batches into a new base."""
         state = self._current()
-        batches = state.get("batches", [])
+        batches = [*state.get("added", []), *state.get("replacing", [])]
         if not batches:
             return
         base = f"base-{state['step'] + 1:012d}"
         self.read().write.mode("overwrite").parquet(f"{self.path}/{base}")
-        self._publish({"step": state["step"], "base": base, "folded": max(batches), "batches": []})
+        self._publish({"step": state["step"], "base": base, "folded": max(batches), "added": [], "replacing": []})
 
 
 class PositionTable(_Versioned):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from ledgerline.operators.export import render_rows, rotate_files
+from ledgerline.operators.export import in_ranges, render_rows, rotate_files
 
 # Size limits, compressed-size check interval, file name form.
 PLAIN_LIMIT = 200 * 1024 * 1024
@@ -214,16 +214,18 @@ def write_tsv(
         raise ValueError("rotation must be task or global")
     if rotation == "global" and zstd:
         raise ValueError("compressed sizes are only known while writing: use rotation='task'")
-    keys = [f"_key{i}" for i in range(len(order))]
-    keyed = df.select("*", *[F.col(c).alias(k) for c, k in zip(order, keys)])
-    lines = render_rows(keyed, columns or df.columns, keys)
+    columns = columns or df.columns
     if rotation == "global":
-        placed = rotate_files(lines, keys, limit, partitions=partitions)
-        by_file = placed.repartitionByRange(partitions, "file_idx") if partitions else placed.repartitionByRange("file_idx")
-        _save(by_file.sortWithinPartitions("file_idx", "bytes_before").select("line", "file_idx"), path, prefix, limit, False, True)
+        placed = rotate_files(
+            df, order, limit, partitions=partitions, prepare=lambda rows: render_rows(rows, columns)
+        )
+        # Whole files per task: the running total is also the order inside a file.
+        lines = placed.repartitionByRange(partitions, "file_idx") if partitions else placed.repartitionByRange("file_idx")
+        lines = lines.sortWithinPartitions("file_idx", "bytes_before").select("line", "file_idx")
+        _save(lines, path, prefix, limit, False, True)
         return
-    ranged = lines.repartitionByRange(partitions, *keys) if partitions else lines.repartitionByRange(*keys)
-    _save(ranged.sortWithinPartitions(*keys).select("line"), path, prefix, limit, zstd, False)
+    lines = render_rows(in_ranges(df, order, partitions), columns).select("line")
+    _save(lines, path, prefix, limit, zstd, False)
 
 
 def write_tsv_zstd(
