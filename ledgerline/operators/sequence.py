@@ -105,14 +105,12 @@ def multiline_merge(
     rest = [c for c in df.columns if c not in (client, message, cursor)]
     merged = lines.groupBy(client, "_island", "_part").agg(
         F.min_by(F.struct(*rest), order).alias("_head"),
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(message).alias("m")))).alias("_lines"),
+        F.expr(f"listagg(coalesce(`{message}`, ''), '\\n') within group (order by `{order}`)").alias(message),
         *([F.max_by(cursor, order).alias(cursor)] if cursor else []),
     )
     columns = []
     for name in df.columns:
-        if name == message:
-            columns.append(F.array_join(F.transform("_lines", lambda l: l["m"]), "\n").alias(message))
-        elif name in (client, cursor):
+        if name in (client, cursor, message):
             columns.append(F.col(name))
         else:
             columns.append(F.col("_head")[name].alias(name))
