@@ -367,47 +367,3 @@ def batch_envelopes(
         out = out.withColumnRenamed("_records", "records")
     return out
 
-
-def batch_split_even(
-    df: DataFrame,
-    batch_size: int = BATCH_SIZE,
-    max_bytes: int = BATCH_BYTES,
-    client: str = "client_id",
-    order: str = "seqno",
-    size: Column | None = None,
-    width: int = 1 << 20,
-) -> DataFrame:
-    """Batches cut by running totals instead of next-fit: built-ins only.
-
-    Bounds are the same up to one record; the cut points differ.
-    """
-    from ledgerline.operators.streams import along, attach, before, inside
-
-    parts = with_segment(df, order, width).withColumn(
-        "_size", (size if size is not None else record_json_bytes()) + 1
-    )
-    window = before(inside(client, order))
-    carried = parts.groupBy(client, SEGMENT).agg(
-        F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows")
-    )
-    carried = carried.select(
-        client,
-        SEGMENT,
-        F.coalesce(F.sum("_bytes").over(before(along(client))), F.lit(0)).alias("_bytes_before"),
-        F.coalesce(F.sum("_rows").over(before(along(client))), F.lit(0)).alias("_rows_before"),
-    )
-    out = attach(
-        parts.withColumns(
-            {
-                "_local": F.coalesce(F.sum("_size").over(window), F.lit(0)),
-                "_row": F.coalesce(F.count(F.lit(1)).over(window), F.lit(0)),
-            }
-        ),
-        carried,
-        client,
-    )
-    return out.select(
-        *df.columns,
-        F.floor((F.col("_bytes_before") + F.col("_local")) / max_bytes).cast("bigint").alias("byte_slot"),
-        F.floor((F.col("_rows_before") + F.col("_row")) / batch_size).cast("bigint").alias("row_slot"),
-    )

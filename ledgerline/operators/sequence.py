@@ -272,9 +272,8 @@ def marker_columns(df, text, tag, client, order, cursor, time, random_id):
     return columns
 
 
-def insert_markers(df: DataFrame, markers: DataFrame) -> DataFrame:
-    """The stream with its markers; ``after_order`` and ``synthetic`` sort them in."""
-    order = F.col("seqno") if "seqno" in df.columns else F.lit(None)
-    return df.withColumns({"after_order": order, "synthetic": F.lit(False)}).unionByName(
+def insert_markers(df: DataFrame, markers: DataFrame, order: str = "seqno") -> DataFrame:
+    """The stream with its markers: sort by ``after_order`` and ``synthetic``."""
+    return df.withColumns({"after_order": F.col(order), "synthetic": F.lit(False)}).unionByName(
         markers.withColumn("synthetic", F.lit(True)), allowMissingColumns=True
     )

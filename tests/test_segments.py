@@ -70,6 +70,19 @@ def test_gap_markers(lines, width):
     assert want.count() > 0
 
 
+def test_inserted_markers(spark):
+    data = [("a", 1, 1_000_000, "c1"), ("a", 2, 2_000_000, "c2"), ("a", 3, 90_000_000, "c3")]
+    df = spark.createDataFrame(data, "client_id string, seqno long, realtime_ts long, cursor string")
+    marks = sequence.gap_markers(df, "lost", gap_us=5_000_000)
+    out = sequence.insert_markers(df, marks).orderBy("after_order", "synthetic").collect()
+    assert [r.cursor for r in out] == ["c1", "c2", None, "c3"]
+    mark = out[2]
+    assert (mark.message, mark.priority, mark.position) == ("1970-01-01T00:00:02.001Z :LEDGERLINE ALERT: lost", 2, "c2")
+    assert (mark.realtime_ts, mark.seqno) == (2_001_000, 2_001)
+    positioned = sequence.ack_positions(df.unionByName(marks.select(df.columns)), "p0").orderBy("seqno").collect()
+    assert positioned[-1].cursor is None and positioned[-1].position == "c3"
+
+
 def fold_batches(rows, max_rows, max_bytes):
     """Next-fit, one row at a time: (order, size, next_size, open_size, real)."""
     out, number, used, real, count = {}, 0, 0, 0, 0
