@@ -8,6 +8,10 @@ segment needs from the earlier ones is summarised in one row per segment,
 carried along the client (few rows), and joined back on (client, segment):
 the join reuses the window's own hash partitioning, so the rows themselves
 are shuffled once.
+
+The width is a span of order values. For dense numbers it is also the largest
+number of rows in a segment; for sparse ones (microseconds, say) a larger width
+keeps segments, and so summary rows, from becoming needlessly many.
 """
 
 from __future__ import annotations

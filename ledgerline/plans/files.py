@@ -20,7 +20,7 @@ from ledgerline.plans.rows import BODY, FIRST_LINE, FOLD, MERGED, ROTATED
 from ledgerline.plans.scalars import RE, RE_UNIT, hash_sql, show_rows
 from ledgerline.plans.views import duckdb_ctes, table
 from ledgerline.schema import LOG_TABLE
-from ledgerline.session import scratch_path
+from ledgerline.session import scratch_path, stage
 from ledgerline.sinks.tables import append_rows
 from ledgerline.sinks.tsv import read_tsv_zstd, write_tsv, write_tsv_zstd
 from ledgerline.sources.batches import batch_records, scan_batches
@@ -289,7 +289,8 @@ SELECT s.client_id, batches, accepted, mismatches, exp_pos, rows_written, max_se
 FROM states s JOIN rows_out r ON r.hostname = s.client_id""",
 )
 def q_server_batch(spark, sf):
-    numbered = views.numbered(spark, sf)
+    # Batches as they were received: written once, then judged and stored.
+    numbered = stage(views.numbered(spark, sf), "received")
     envelopes = views.envelopes(spark, sf, numbered)
     records = numbered.withColumn("record_index", F.expr("rn % 50"))
     # Records arrive with the groups their client extracted.
