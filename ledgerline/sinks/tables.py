@@ -46,7 +46,9 @@ class LogTable(_Versioned):
     range. Almost always none of its keys is stored yet: such a batch is just
     added to what readers scan, with no merge. Only batches that do replace
     rows (replays) are applied by key when reading, until ``compact`` folds
-    them in. A batch written again under the same id replaces itself.
+    them in. Added batches are packed into larger files now and then, at the
+    cost of those batches alone. The newest batch, written again under the same
+    id, replaces itself.
     """
 
     def __init__(
@@ -56,22 +58,23 @@ class LogTable(_Versioned):
         columns: list[TableColumn] = LOG_TABLE,
         keys: list[str] = LOG_TABLE_KEY,
         compact_after: int = 64,
+        pack_after: int = 256,
     ):
         super().__init__(spark, path)
         self.schema = struct_of(columns)
         self.keys = list(keys)
-        self.compact_after = compact_after
+        self.compact_after, self.pack_after = compact_after, pack_after
 
     def upsert(self, rows: DataFrame, batch_id: int, order: str | list[str] | None = None) -> None:
         """Write one batch; ``order`` picks among rows of one key, if there may be several."""
         if order is not None:
             names = [order] if isinstance(order, str) else order
             rows = latest_by_key(rows, self.keys, F.struct(*names))
-        path = f"{self.path}/batch={batch_id}"
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(path)
         state = self._current()
         if batch_id <= state.get("folded", -1):
             return
+        path = f"{self.path}/batch={batch_id}"
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(path)
         written = self.spark.read.schema(self.schema).parquet(path)
         state = {
             **state,
@@ -83,6 +86,20 @@ class LogTable(_Versioned):
         self._publish(state)
         if len(state["replacing"]) >= self.compact_after:
             self.compact()
+        elif len(state["added"]) > self.pack_after:
+            self._pack(state)
+
+    def _plain(self, folders: list[str]) -> DataFrame:
+        # One scan over all folders; ``batch=`` in their names is not a column here.
+        reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", "true")
+        return reader.parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def _pack(self, state: dict) -> None:
+        """Rewrite all added batches but the newest, which may still be written again."""
+        *old, newest = state["added"]
+        pack = f"pack-{state['step'] + 1:012d}"
+        self._plain([f"batch={b}" for b in old]).write.mode("overwrite").parquet(f"{self.path}/{pack}")
+        self._publish({**state, "packs": [*state.get("packs", []), pack], "added": [newest], "folded": max(old)})
 
     def _replaces(self, state: dict, rows: DataFrame) -> bool:
         """Whether any key of ``rows`` is stored, looking only at their key range."""
@@ -95,11 +112,9 @@ class LogTable(_Versioned):
         return not near.join(rows.select(*self.keys), self.keys, "left_semi").isEmpty()
 
     def _read(self, state: dict) -> DataFrame | None:
-        base = [f"{self.path}/{state['base']}"] if state.get("base") else []
-        plain = base + [f"{self.path}/batch={b}" for b in state.get("added", [])]
-        reader = self.spark.read.schema(self.schema)
-        # One scan over all folders; ``batch=`` in their names is not a column here.
-        stored = reader.option("recursiveFileLookup", "true").parquet(*plain) if plain else None
+        base = [state["base"]] if state.get("base") else []
+        plain = base + state.get("packs", []) + [f"batch={b}" for b in state.get("added", [])]
+        stored = self._plain(plain) if plain else None
         replacing = state.get("replacing", [])
         if not replacing:
             return stored
@@ -118,11 +133,12 @@ class LogTable(_Versioned):
         """Fold all batches into a new base."""
         state = self._current()
         batches = [*state.get("added", []), *state.get("replacing", [])]
-        if not batches:
+        if not batches and not state.get("packs"):
             return
         base = f"base-{state['step'] + 1:012d}"
         self.read().write.mode("overwrite").parquet(f"{self.path}/{base}")
-        self._publish({"step": state["step"], "base": base, "folded": max(batches), "added": [], "replacing": []})
+        folded = max([*batches, state.get("folded", -1)])
+        self._publish({"step": state["step"], "base": base, "folded": folded, "added": [], "replacing": []})
 
 
 class PositionTable(_Versioned):

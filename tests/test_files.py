@@ -148,6 +148,20 @@ def test_log_table(spark, tmp_path):
     assert sorted(map(tuple, again.read().collect())) == [(1, "z"), (2, "c"), (3, "d")]
 
 
+def test_log_table_packs(spark, tmp_path):
+    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"], pack_after=3)
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k long, v string")
+    for i in range(6):
+        table.upsert(batch((i, f"v{i}")), i)
+    table.upsert(batch((5, "v5")), 5)
+    table.upsert(batch((0, "new")), 6)
+    assert table._current()["packs"] and table._current()["replacing"] == [6]
+    want = [(0, "new"), *((i, f"v{i}") for i in range(1, 6))]
+    assert sorted(map(tuple, table.read().collect())) == want
+    table.compact()
+    assert sorted(map(tuple, table.read().collect())) == want
+
+
 def test_position_table(spark, tmp_path):
     table = PositionTable(spark, str(tmp_path / "p"))
     assert table.read() is None
