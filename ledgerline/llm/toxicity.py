@@ -11,8 +11,8 @@ word beginnings, so inflected forms of a stem share weight. Training, in steps:
    sample: at most ``SAMPLE`` documents of each class, first in order of a hash
    of their id.
 3. Forward-backward gives each word's marginal. A logistic function of their
-   largest log odds and of their sum, fitted on the same sample with the classes
-   weighted as they occur, gives a document's score.
+   largest log odds, their sum and their density, fitted on the same sample with
+   the classes weighted as they occur, gives a document's score.
 
 Scoring tags every word of every text.
 
@@ -60,7 +60,7 @@ class Chain:
     weights: dict[str, float]
     bias: float = 0.0
     moves: tuple = ((0.0, 0.0), (0.0, 0.0))
-    document: tuple = (0.0, 0.0, 0.0)
+    document: tuple = (0.0, 0.0, 0.0, 0.0)
     share: float | None = None
     _seen: dict = field(default_factory=dict, repr=False)
 
@@ -97,17 +97,15 @@ class Chain:
         both = np.array(ahead) * np.array(back)
         return both / (1 + both)
 
-    def summary(self, marginals: np.ndarray) -> tuple[float, float]:
-        if not len(marginals):
-            return -12.0, 0.0
-        top = float(np.clip(marginals.max(), 1e-5, 1 - 1e-5))
-        return float(np.log(top / (1 - top))), float(np.log1p(marginals.sum()))
+    def summary(self, marginals: np.ndarray) -> tuple[float, float, float]:
+        top = float(np.clip(marginals.max(initial=0.0), 1e-5, 1 - 1e-5))
+        total = float(marginals.sum())
+        return float(np.log(top / (1 - top))), float(np.log1p(total)), float(np.log((total + 0.2) / (len(marginals) + 20)))
 
-    def score(self, summary: tuple[float, float]) -> float:
+    def score(self, summary: tuple[float, float, float]) -> float:
         if self.share is not None:
             return self.share
-        a, b, c = self.document
-        return float(1 / (1 + np.exp(-np.clip(a + b * summary[0] + c * summary[1], -36, 36))))
+        return float(1 / (1 + np.exp(-np.clip(np.dot(self.document, (1.0, *summary)), -36, 36))))
 
     def tag(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """A document's score and its toxic words (start, end, marginal), ends exclusive."""
@@ -179,7 +177,7 @@ def fit_chain(sequences: list[tuple[list[list[int]], list[int]]], names: list[st
 def fit_document(summaries: np.ndarray, labels: np.ndarray, weights: np.ndarray, steps: int = 60) -> tuple:
     """Weighted ridge logistic regression by Newton steps."""
     x = np.column_stack((np.ones(len(summaries)), summaries))
-    theta, ridge = np.zeros(3), np.diag([1e-6, 1e-3, 1e-3]) * weights.sum()
+    theta, ridge = np.zeros(x.shape[1]), np.diag([1e-6] + [1e-4] * (x.shape[1] - 1)) * weights.sum()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -36, 36)))
         slope = x.T @ (weights * (labels - p)) - ridge @ theta
