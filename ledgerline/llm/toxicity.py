@@ -208,8 +208,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def leaning_features(labelled: DataFrame, most: int = FEATURES) -> list[str]:
-    """Words and beginnings whose share among the words of toxic documents is surely higher."""
+def leaning_features(labelled: DataFrame, numbers: dict[int, int], most: int = FEATURES) -> list[str]:
+    """Words and beginnings that toxic documents surely have more often; ``numbers``: documents by label."""
     words = labelled.select("label", "text").mapInArrow(_count_words, "word string, clean long, toxic long")
     words = words.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     names = F.array(F.col("word"), *[F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in BEGINNINGS])
@@ -219,9 +219,8 @@ def leaning_features(labelled: DataFrame, most: int = FEATURES) -> list[str]:
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter(F.col("toxic") >= LEAST_SEEN)
     )
-    totals = words.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).first()
     toxic, clean = F.col("toxic") + 0.5, F.col("clean") + 0.5
-    lean = F.log(toxic / ((totals["toxic"] or 0) + 1)) - F.log(clean / ((totals["clean"] or 0) + 1)) - 2 * F.sqrt(1 / toxic + 1 / clean)
+    lean = F.log(toxic / (numbers[1] + 1)) - F.log(clean / (numbers[0] + 1)) - 2 * F.sqrt(1 / toxic + 1 / clean)
     best = counts.withColumn("lean", lean).filter(F.col("lean") >= LEAST_LEAN).orderBy(F.desc("lean"), "name").limit(most)
     return [r["name"] for r in best.collect()]
 
@@ -238,7 +237,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits:
     if set(numbers) != {0, 1}:
         work.drop(labelled)
         return Chain({}, share=1.0 if 1 in numbers else 0.0)
-    names = leaning_features(labelled)
+    names = leaning_features(labelled, numbers)
     known_features = {f: k for k, f in enumerate(names)}
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
