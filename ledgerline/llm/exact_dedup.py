@@ -118,22 +118,21 @@ def drop_exact_duplicates(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame
     work = Workings("exact-dedup")
     verdicts = work.stage(exact_groups(docs, bits=bits).filter("group_size > 1"), "verdicts")
     grouped = membership(verdicts.select("doc_id"), ["doc_id"], bits)
-    marked = with_maybe(docs, ["doc_id"], grouped, "_grouped", bits)
-    clear = marked.filter(~F.col("_grouped")).drop("_grouped")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    suspects = marked.filter("_grouped").withColumns(
-        {"_points": F.length(text).cast("long"), "_digest": F.sha2(stripped(text), 256)}
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", text.alias("text"))
+    marked = with_maybe(rows, ["doc_id"], grouped, "maybe", bits)
+    suspects = marked.filter("maybe").select(
+        "row", F.col("doc_id").alias("id"), F.length("text").cast("long").alias("points"), F.sha2(stripped(F.col("text")), 256).alias("digest")
     )
-    known = verdicts.groupBy(
-        F.col("doc_id").alias("_id"), F.col("n_points").alias("_n"), F.col("text_sha256").alias("_sha")
-    ).agg(F.max("kept").alias("_kept"))
+    known = verdicts.groupBy("doc_id", "n_points", "text_sha256").agg(F.max("kept").alias("kept"))
     judged = suspects.join(
         known,
-        suspects["doc_id"].eqNullSafe(known["_id"]) & (F.col("_points") == F.col("_n")) & (F.col("_digest") == F.col("_sha")),
+        suspects["id"].eqNullSafe(known["doc_id"]) & (F.col("points") == F.col("n_points")) & (F.col("digest") == F.col("text_sha256")),
         "left",
-    ).filter(F.coalesce(F.col("_kept"), F.lit(True)))
-    stay = judged.dropDuplicates(["doc_id", "_points", "_digest"]).select(*docs.columns)
-    return clear.select(*docs.columns).unionByName(stay)
+    )
+    alone = judged.filter(F.col("kept").isNull())
+    stay = judged.filter("kept").dropDuplicates(["id", "points", "digest"])
+    return marked.filter("NOT maybe").select("row.*").unionByName(alone.select("row.*")).unionByName(stay.select("row.*"))
 
 
 ORACLE = r"""

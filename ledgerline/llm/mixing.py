@@ -68,26 +68,34 @@ def source_targets(sizes: DataFrame, weights=(1, 2, 3), most: int = MOST_EPOCHS)
     return shared.select("source", "source_size", target.alias("target"))
 
 
+def _name(source):
+    """The source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
+def _key(doc_id):
+    return F.md5(F.concat(F.lit(SEED), F.coalesce(doc_id.cast("string"), F.lit(""))))
+
+
 def mix_sources(docs: DataFrame, weights=(1, 2, 3), most: int = MOST_EPOCHS, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken."""
+    placed = _placed(docs, weights, most, rows_per_bucket)
+    return placed.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def _placed(docs: DataFrame, weights, most: int, rows_per_bucket: int) -> DataFrame:
     work = Workings("mixing")
     rows = work.stage(
         docs.select(
             "doc_id", "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"),
+            _key(F.col("doc_id")).alias("key"),
         ),
         "rows",
     )
     digits = max(1, math.ceil(math.log(max(1, rows.count() / rows_per_bucket), 16)))
     coarse = max(1, digits // 2)
-    # A null source as a key of its own that joins like any other.
-    named = rows.withColumns(
-        {
-            "name": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")),
-            "bucket": F.substring("key", 1, digits),
-        }
-    )
+    named = rows.withColumns({"name": _name(F.col("source")), "bucket": F.substring("key", 1, digits)})
     buckets = work.stage(
         named.groupBy("name", "source", "bucket").agg(F.sum("size").alias("words")).withColumn("upper", F.substring("bucket", 1, coarse)),
         "buckets",
@@ -99,7 +107,7 @@ def mix_sources(docs: DataFrame, weights=(1, 2, 3), most: int = MOST_EPOCHS, row
     )
     targets = work.stage(
         source_targets(buckets.groupBy("name", "source").agg(F.sum("words").alias("source_size")), weights, most), "targets"
-    ).withColumn("name", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    ).withColumn("name", _name(F.col("source")))
     whole = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.select(
@@ -119,10 +127,31 @@ def mix_sources(docs: DataFrame, weights=(1, 2, 3), most: int = MOST_EPOCHS, row
     placed = named.withColumn("within", F.coalesce(F.sum("size").over(in_bucket), F.lit(0))).join(starts, ["name", "bucket"])
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start") - F.col("within")))
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")
+        "doc_id", "source", "name", "key", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size") + part).cast("long").alias("taken")
     )
 
 
+def repeat_to_mix(docs: DataFrame, weights=(1, 2, 3), most: int = MOST_EPOCHS, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns.
+
+    Rows are whole: the one that a budget cuts counts if at least half of it is
+    taken. Rows without words, which weigh nothing, stay out. In the hash order a
+    source is taken once more up to one key, so a row needs only its source's
+    epochs and that key, and texts are not shuffled while that table (a row for
+    each source) is small enough for Spark to broadcast.
+    """
+    work = Workings("mixing")
+    placed = _placed(docs, weights, most, rows_per_bucket).filter("size > 0")
+    once_more = F.when(2 * (F.col("taken") - F.col("epochs") * F.col("size")) >= F.col("size"), F.col("key"))
+    cuts = work.stage(placed.groupBy("name").agg(F.first("epochs").alias("epochs"), F.max(once_more).alias("cut")), "cuts")
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), _name(F.col("source")).alias("name"), _key(F.col("doc_id")).alias("key"), "text"
+    ).filter(F.col("text").rlike(WORD))
+    times = (F.col("epochs") + F.coalesce(F.col("key") <= F.col("cut"), F.lit(False)).cast("long")).cast("int")
+    copies = rows.join(cuts, "name").select("row", F.explode(F.array_repeat(F.lit(0), times)))
+    return copies.select("row.*")
+
+
 ORACLE = r"""
 WITH d AS (
   SELECT doc_id, source, md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS k,

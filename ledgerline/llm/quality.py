@@ -177,8 +177,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, with all their columns."""
     model = fit_quality(docs, labels)
-    scored = docs.withColumn("_score", score_column(model, F.col("text")))
-    return scored.filter(F.col("_score") >= threshold).select(*docs.columns)
+    scored = docs.select(F.struct(*docs.columns).alias("row"), score_column(model, F.col("text")).alias("score"))
+    return scored.filter(F.col("score") >= threshold).select("row.*")
 
 
 @query("op4_quality")
