@@ -7,15 +7,16 @@ bucket, so similar sets meet often. Then, level by level:
 * a small bucket is compared within: pairs that pass a size bound and a 64-bin
   one-permutation sketch are candidates, checked on their whole sets later;
 * a large bucket whose members are alike on average (from counts of sketch bits,
-  over all members) would not fall apart: it is compared within blocks of a grid,
-  on whole sets, a cell being a task, and gives counts of links and a spanning
-  tree of what is connected, never its pairs;
+  over all members) would not fall apart. Such buckets that share members become
+  one grid, so a group of near copies is compared once and not once for each of
+  its paths: within blocks, on whole sets, a cell being a task. A cell gives
+  counts of links and a spanning tree of what is connected, never its pairs;
 * any other large bucket is split: its members sample again among their shingles,
   and the sampled shingle extends the path.
 
 The number of runs follows from the target recall and the chance that a pair at
-the threshold shares a path in one run. A pair in several grids counts in the one
-with the least key, so links are counted once. Classes are connected components.
+the threshold shares a path in one run. A node is in one grid at most and pairs
+within a grid are counted there alone. Classes are connected components.
 
 Defined cases: words are lower-case stretches without white space; a text of one
 to four words is one shingle; null, empty and blank texts have no words and form
@@ -51,6 +52,8 @@ ALIKE = 0.6
 #: Members of a block of a grid.
 BLOCK = 512
 MOST_LEVELS = 12
+#: Bits of the filter of sampled shingles that occur again (4 MB at most, see FILTER_BITS).
+KEY_BITS = 1 << 24
 #: Sketches are compared if both sets have so many shingles; so many of 64 bins must agree.
 SKETCH_FROM, SKETCH_SHARE = 64, 0.72
 
@@ -208,7 +211,7 @@ def _compare_cell(threshold: float):
     """A cell of a grid: counts of links and a spanning tree, from whole sets."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, i, j = pdf["key"].iloc[0], pdf["i"].iloc[0], pdf["j"].iloc[0]
+        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
         pdf = pdf.sort_values("node").reset_index(drop=True)
         sets = [loaded(t) for t in pdf["tokens"]]
         n, sizes = len(sets), np.array([len(s) for s in sets])
@@ -230,9 +233,7 @@ def _compare_cell(threshold: float):
         block = pdf["block"].to_numpy()
         if i != j:
             linked &= block[:, None] != block[None, :]
-        # A pair belongs to the least of the grids that both are in.
-        dense = [set(d) for d in pdf["dense"]]
-        count = np.zeros(n, np.int64)
+        count = linked.sum(axis=1).astype(np.int64)
         root = np.arange(n)
 
         def top(x):
@@ -243,9 +244,6 @@ def _compare_cell(threshold: float):
 
         for a in range(n):
             for b in np.flatnonzero(linked[a, a + 1 :]) + a + 1:
-                if min(dense[a] & dense[b]) == key:
-                    count[a] += 1
-                    count[b] += 1
                 x, y = top(a), top(b)
                 root[max(x, y)] = min(x, y)
         return pd.DataFrame({"node": pdf["node"], "links": count, "to": [pdf["node"][top(x)] for x in range(n)]})
@@ -288,49 +286,58 @@ def _classes(
     members = described.select("doc_id", "node")
     nodes = work.stage(members.groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies")), "nodes")
 
-    # Equal sets have equal paths, so any of their rows will do.
     faces = described.select("node", "size", "there", "bits")
-    rows = work.stage(
-        described.select("node", "size", "there", "bits", F.explode("paths").alias("key")).dropDuplicates(["node", "key"]), "level1"
-    )
-    levels, candidates, dense = [rows], [], []
+    # Equal sets have equal paths: a node's rows for a key count once.
+    rows = work.stage(_meeting(described.select("node", "size", "there", "bits", F.explode("paths").alias("key"))), "level")
+    levels, candidates, alike_rows = [rows], [], []
     for level in range(1, MOST_LEVELS + 1):
         sizes = work.stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
+        large_keys = sizes.filter(F.col("n") > small).select("key")
         counted = rows.join(sizes, "key")
         candidates.append(_pairs(work.stage(counted.filter(F.col("n") <= small).drop("n"), "small"), threshold))
-        large = work.stage(counted.filter(F.col("n") > small), "large")
+        large = work.stage(
+            with_maybe(rows, ["key"], membership(large_keys, ["key"], bits), "maybe", bits).filter("maybe").join(large_keys, "key")
+            .select("key", "node", "bits"),
+            "large",
+        )
         alike = work.stage(_alike(large, level == MOST_LEVELS), "alike")
-        dense.append(large.select("key", "node", "n").join(alike.filter("dense").select("key"), "key"))
+        alike_rows.append(large.select("key", "node").join(alike.filter("dense").select("key"), "key"))
         open_rows = large.select("key", "node").join(alike.filter("NOT dense").select("key"), "key")
         paths = work.stage(open_rows.groupBy("node").agg(F.collect_list("key").alias("paths")), "open")
         work.drop(sizes)
         if paths.isEmpty():
             break
         longer = paths.join(_sets_of(described, paths.select("node"), bits), "node").mapInArrow(_extend(threshold), "node binary, key long")
+        longer = work.stage(longer, "longer")
         known = with_maybe(faces, ["node"], membership(paths, ["node"], bits), "maybe", bits).filter("maybe").drop("maybe")
-        rows = work.stage(longer.distinct().join(known.dropDuplicates(["node"]), "node").select("node", "size", "there", "bits", "key"), "level")
-        work.drop(paths)
+        rows = work.stage(_meeting(longer).join(known.dropDuplicates(["node"]), "node").select("node", "size", "there", "bits", "key"), "level")
+        work.drop(paths, longer)
         levels.append(rows)
 
-    grids = dense[0]
-    for more in dense[1:]:
-        grids = grids.unionByName(more)
-    grids = work.stage(grids, "grids")
-    dense_of = work.stage(grids.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("dense")), "dense")
-    cells = work.stage(_cells(grids, dense_of, _sets_of(described, dense_of.select("node"), bits), threshold, block), "cells")
+    met = alike_rows[0]
+    for more in alike_rows[1:]:
+        met = met.unionByName(more)
+    met = met.select(F.concat(F.lit("n"), F.hex("node")).alias("u"), F.concat(F.lit("k"), F.col("key").cast("string")).alias("v"))
+    grid_of = work.stage(
+        components(met).filter(F.col("node").startswith("n")).select(F.unhex(F.substring("node", 2, 32)).alias("node"), F.col("root").alias("grid")), "grids"
+    )
+    cells = work.stage(_cells(grid_of, _sets_of(described, grid_of.select("node"), bits), threshold, block), "cells")
 
     pairs = candidates[0]
     for more in candidates[1:]:
         pairs = pairs.unionByName(more)
-    pairs = work.stage(pairs.distinct(), "pairs")
+    # Pairs within a grid have been compared there.
+    grid = lambda s: grid_of.select(F.col("node").alias(s), F.col("grid").alias(f"{s}_grid"))
+    apart = ~F.coalesce(F.col("a_grid") == F.col("b_grid"), F.lit(False))
+    pairs = work.stage(
+        pairs.distinct().join(grid("a"), "a", "left").join(grid("b"), "b", "left").filter(apart).select("a", "b"), "pairs"
+    )
     work.drop(*levels)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = work.stage(_sets_of(described, wanted, bits).join(dense_of, "node", "left"), "wanted")
-    side = lambda s: sets.select(F.col("node").alias(s), F.col("tokens").alias(f"{s}_tokens"), F.col("dense").alias(f"{s}_dense"))
-    # Pairs that share a grid have been counted there.
-    apart = ~F.coalesce(F.arrays_overlap("a_dense", "b_dense"), F.lit(False))
+    sets = work.stage(_sets_of(described, wanted, bits), "wanted")
+    side = lambda s: sets.select(F.col("node").alias(s), F.col("tokens").alias(f"{s}_tokens"))
     links = work.stage(
-        pairs.join(side("a"), "a").join(side("b"), "b").filter(apart).select("a", "b", "a_tokens", "b_tokens")
+        pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_tokens", "b_tokens")
         .mapInArrow(_verify(threshold), "a binary, b binary"),
         "links",
     )
@@ -385,17 +392,21 @@ def _alike(large: DataFrame, last: bool) -> DataFrame:
     return per_key.select("key", (F.lit(last) | (2 * agree - 1 >= ALIKE)).alias("dense"))
 
 
-def _cells(grids: DataFrame, dense_of: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
-    """(node, links, to) from each cell of the grids; (i, j), i <= j, holds blocks i and j of a bucket."""
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = grids.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+def _meeting(rows: DataFrame) -> DataFrame:
+    """The rows whose key occurs again (or may, by the filter), each node once for a key."""
+    again = membership(rows.groupBy("key").count().filter("count > 1"), ["key"], KEY_BITS)
+    met = with_maybe(rows, ["key"], again, "maybe", KEY_BITS).filter("maybe").drop("maybe")
+    return met.dropDuplicates(["node", "key"])
+
+
+def _cells(grid_of: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(node, links, to) from each cell of the grids; (i, j), i <= j, holds blocks i and j of a grid."""
+    sizes = grid_of.groupBy("grid").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = grid_of.join(sizes, "grid").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).join(sets, "node")
     other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = other.select(
-        "key", "node", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
     return (
-        cells.join(dense_of, "node").join(sets, "node")
-        .groupBy("key", "i", "j")
+        other.select("grid", "node", "tokens", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .groupBy("grid", "i", "j")
         .applyInPandas(_compare_cell(threshold), "node binary, links long, to binary")
     )
 
