@@ -43,6 +43,8 @@ FEATURES = 2048
 SAMPLE = 2000
 #: Words to a training sequence.
 WINDOW = 100
+#: Different words that a task counts before it hands them on.
+MOST_WORDS = 500_000
 LEAST_SEEN = 4
 LEAST_LEAN = 1.5
 
@@ -191,21 +193,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part of a batch: each word with the number of toxic and other documents that have it."""
+    """Each word with the number of toxic and other documents that have it, summed as far as memory allows."""
+    seen = (Counter(), Counter())
+
+    def summed() -> pa.RecordBatch:
+        words = list(seen[0].keys() | seen[1].keys())
+        made = {"word": pa.array(words, pa.string())}
+        for name, counts in zip(("clean", "toxic"), seen):
+            made[name] = pa.array([counts[w] for w in words], pa.int64())
+            counts.clear()
+        return pa.RecordBatch.from_pydict(made)
+
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            seen = (Counter(), Counter())
-            for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist()):
-                seen[label].update(set(WORD.findall(text.lower())))
-            words = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array(words, pa.string()),
-                    "clean": pa.array([seen[0][w] for w in words], pa.int64()),
-                    "toxic": pa.array([seen[1][w] for w in words], pa.int64()),
-                }
-            )
+        for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist()):
+            seen[label].update(set(WORD.findall(text.lower())))
+            if len(seen[0]) + len(seen[1]) > MOST_WORDS:
+                yield summed()
+    yield summed()
 
 
 def leaning_features(labelled: DataFrame, numbers: dict[int, int], most: int = FEATURES) -> list[str]:
@@ -230,9 +234,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits:
     work = Workings("toxicity")
     labels = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter("label IN (0, 1)").filter(~held_out(F.col("doc_id")))
     known = membership(labels, ["doc_id"], bits)
-    labelled = work.stage(
-        with_maybe(texts(docs), ["doc_id"], known, "maybe", bits).filter("maybe").drop("maybe").join(labels, "doc_id"), "labelled"
-    )
+    # Labels grow with the documents: never a broadcast, at any size.
+    maybe = with_maybe(texts(docs), ["doc_id"], known, "maybe", bits).filter("maybe").drop("maybe")
+    labelled = work.stage(maybe.join(labels.hint("merge"), "doc_id"), "labelled")
     numbers = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if set(numbers) != {0, 1}:
         work.drop(labelled)

@@ -44,7 +44,7 @@ def result(df):
     return sorted(((r.doc_id, r.rep_id, r.copies, r.n_links, r.class_id) for r in df.collect()), key=str)
 
 
-def corpus(seed=1, near=150, passages=120, alone=60):
+def corpus(seed=1, near=90, passages=80, alone=60):
     """A large group of near copies, a passage in many texts, copies, short and empty texts."""
     r = random.Random(seed)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(4))
@@ -61,10 +61,10 @@ def corpus(seed=1, near=150, passages=120, alone=60):
     for t in [x for x in rows[near + passages :] if x and len(x.split()) > 40][:20]:
         rows.append(t + " tail")
     rows = list(enumerate(rows, 100))
-    return rows + [(None, "no id here at all"), (None, rows[0][1]), (7, rows[160][1]), rows[5], rows[5]]
+    return rows + [(None, "no id here at all"), (None, rows[0][1]), (7, rows[100][1]), rows[5], rows[5]]
 
 
-@pytest.mark.parametrize("small,block", [(50, 512), (8, 16), (4, 40)])
+@pytest.mark.parametrize("small,block", [(50, 512), (6, 16)])
 def test_equals_comparing_all(spark, small, block):
     rows = corpus()
     docs = spark.createDataFrame([(k, t, b"x") for k, t in rows], "doc_id long, text string, node binary")
