@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,13 +112,43 @@ def parse_lists(specs: list[str]) -> dict[str, list[str]]:
     return lists
 
 
+def _listed(text: str, kind: T.DataType, field: str):
+    """A list's value in the column's type; numbers out of its range match nothing (None)."""
+    try:
+        if isinstance(kind, T.BooleanType):
+            return {"true": True, "false": False}[text.lower()]
+        if isinstance(kind, T.IntegralType):
+            number = int(text)
+            bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(kind.simpleString(), 64)
+            return number if -(1 << bits - 1) <= number < 1 << bits - 1 else None
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return float(text)
+        if isinstance(kind, T.DecimalType):
+            number = Decimal(text)
+            fits = number.is_finite() and number == number.quantize(Decimal(1).scaleb(-kind.scale))
+            return number if fits and abs(number) < Decimal(10) ** (kind.precision - kind.scale) else None
+        if isinstance(kind, T.DateType):
+            return date.fromisoformat(text)
+        if isinstance(kind, T.TimestampNTZType):
+            return parse_instant(text).replace(tzinfo=None)
+        if isinstance(kind, T.TimestampType):
+            return parse_instant(text)
+    except (ValueError, KeyError, ArithmeticError):
+        raise ValueError(f"filter {field}: {text!r} is no {kind.simpleString()}") from None
+    raise ValueError(f"filter {field}: columns of type {kind.simpleString()} can't be listed")
+
+
 def in_lists(df: DataFrame, specs: list[str] | dict[str, list[str]]) -> DataFrame:
-    """Rows whose value is in every field's list."""
+    """Rows whose value is in every field's list.
+
+    Values are converted to the column's type here (times are RFC 3339), so the
+    column stays bare and the filter reaches the file scan.
+    """
     lists = parse_lists(specs) if isinstance(specs, list) else specs
     for field, values in lists.items():
         _known_column(df, field)
-        column = F.col(field)
-        if not isinstance(df.schema[field].dataType, T.StringType):
-            column = column.cast("string")
-        df = df.filter(column.isin(values))
+        kind = df.schema[field].dataType
+        if not isinstance(kind, T.StringType):
+            values = [v for v in (_listed(text, kind, field) for text in values) if v is not None]
+        df = df.filter(F.col(field).isin([F.lit(v) for v in values]) if values else F.lit(False))
     return df

@@ -24,9 +24,20 @@ SEGMENT_WIDTH = 1 << 20
 
 
 def with_segment(df: DataFrame, order: str, width: int = SEGMENT_WIDTH) -> DataFrame:
+    """Add the segment. A row without an order has no place in its stream: it fails the query.
+
+    Filter such rows out before (see ``placed``), or number them.
+    """
     if width < 1:
         raise ValueError("segment width must be positive")
-    return df.withColumn(SEGMENT, F.expr(f"`{order}` div {int(width)}"))
+    segment = F.expr(f"`{order}` div {int(width)}")
+    missing = F.raise_error(F.lit(f"a row has no {order}: it has no place in its stream")).cast("bigint")
+    return df.withColumn(SEGMENT, F.when(F.col(order).isNull(), missing).otherwise(segment))
+
+
+def placed(df: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that have a place in their stream, and those that have none."""
+    return df.filter(F.col(order).isNotNull()), df.filter(F.col(order).isNull())
 
 
 def inside(client: str, order: str):

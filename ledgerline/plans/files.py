@@ -216,7 +216,7 @@ def q_write_tsv_zstd(spark, sf):
 # --- pipelines ------------------------------------------------------------
 
 SETTINGS = IngestSettings(
-    unit_mask="noded-*.service",
+    unit_mask="*@db*.service",
     start_pattern=views.START_PATTERN,
     message_pattern=views.MESSAGE_PATTERN,
     unit_pattern=views.UNIT_PATTERN,

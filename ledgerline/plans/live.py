@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,30 +17,38 @@ from ledgerline.plans.registry import query
 from ledgerline.plans.rows import BATCH_FOLD, MERGED, SPLIT_BYTES, SPLIT_ROWS, WITH_KEPT
 from ledgerline.plans.scalars import show_rows
 from ledgerline.schema import LOG_TABLE
-from ledgerline.session import scratch_path
+from ledgerline.session import scratch_path, stage
 from ledgerline.sinks.tables import LogTable, PositionTable
 from ledgerline.sources.batches import scan_batches
 from ledgerline.streaming.ingest import ingest_stream
 from ledgerline.streaming.stateful import batch_stream, drain_batches, drain_entries, multiline_stream
 
 
-def _as_stream(spark, df: DataFrame, label: str) -> DataFrame:
-    """A frame's rows as a file stream of a few triggers."""
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1000").parquet(path)
-
-
-def _run(spark, out: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Run a stream over all its input into a table; the table and the checkpoint."""
-    sink, checkpoint = scratch_path(spark, f"{label}-out"), scratch_path(spark, f"{label}-state")
-    stream = (
-        out.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(sink)
-    )
-    stream.awaitTermination()
+DELIVERIES = 4
+
+
+def _run(spark, df: DataFrame, build: Callable[[DataFrame], DataFrame], label: str) -> tuple[DataFrame, str]:
+    """Run the stream that ``build`` makes over the rows of ``df``; its table and its checkpoint.
+
+    Rows come as a client sends them: in deliveries that follow each other in
+    stream order, each a trigger (or more) that starts from the state left before.
+    """
+    source, sink, checkpoint = (scratch_path(spark, f"{label}-{part}") for part in ("in", "out", "state"))
+    df = stage(df, f"{label}-rows")
+    cuts = df.approxQuantile("seqno", [k / DELIVERIES for k in range(1, DELIVERIES)], 0.01)
+    bounds = [None, *sorted(set(map(int, cuts))), None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = df if low is None else df.filter(F.col("seqno") >= low)
+        part = part if high is None else part.filter(F.col("seqno") < high)
+        part.write.mode("append").parquet(source)
+        out = build(spark.readStream.schema(df.schema).parquet(source))
+        stream = (
+            out.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(sink)
+        )
+        stream.awaitTermination()
     return spark.read.schema(out.schema).parquet(sink), checkpoint
 
 
@@ -49,9 +59,8 @@ def _run(spark, out: DataFrame, label: str) -> tuple[DataFrame, str]:
 )
 def q_multiline_stream(spark, sf):
     rows = nonempty_message(views.records(spark, sf)).drop("fields_json")
-    lines = _as_stream(spark, rows, "lines")
     merged, checkpoint = _run(
-        spark, multiline_stream(lines, views.START_PATTERN, max_messages=3, timeout_ms=None), "merged"
+        spark, rows, lambda lines: multiline_stream(lines, views.START_PATTERN, max_messages=3, timeout_ms=None), "merged"
     )
     drained = drain_entries(spark, checkpoint, rows)
     return merged.unionByName(drained).select("client_id", "seqno", "message", "cursor", "realtime_ts", "priority")
@@ -66,9 +75,8 @@ FROM fold f JOIN sized s ON s.client_id = f.client_id AND s.rn = f.rn GROUP BY 1
 )
 def q_batch_stream(spark, sf):
     rows = views.kept(spark, sf).drop("fields_json").withColumn("parsed", F.lit(None).cast("map<string,string>"))
-    stream = _as_stream(spark, rows, "kept")
     closed, checkpoint = _run(
-        spark, batch_stream(stream, SPLIT_ROWS, SPLIT_BYTES, timeout_ms=None), "batched"
+        spark, rows, lambda kept: batch_stream(kept, SPLIT_ROWS, SPLIT_BYTES, timeout_ms=None), "batched"
     )
     last = closed.groupBy("client_id").agg((F.max("batch_no") + 1).alias("batch_no"))
     open_rows = drain_batches(spark, checkpoint, rows).join(last, "client_id", "left")
@@ -94,12 +102,11 @@ def q_discard_on_mismatch(spark, sf):
     """Only full batches leave; every mismatch throws the open one away."""
     rows = views.kept(spark, sf).select("client_id", "seqno", "cursor", "position", "message", "priority", "fields_json")
     stop = (F.col("priority") == 5) & (F.get_json_object("fields_json", "$.k").cast("int") < 10)
-    stream = _as_stream(spark, rows.withColumn("control", F.when(stop, "mismatch")), "controlled")
+    size = F.octet_length("message").cast("bigint")
     closed, _ = _run(
         spark,
-        batch_stream(
-            stream, BATCH_OF, 1 << 30, timeout_ms=None, size=F.octet_length("message").cast("bigint"), control="control"
-        ),
+        rows.withColumn("control", F.when(stop, "mismatch")),
+        lambda rows: batch_stream(rows, BATCH_OF, 1 << 30, timeout_ms=None, size=size, control="control"),
         "discard",
     )
     return batch_envelopes(closed)

@@ -87,7 +87,11 @@ def ingest_batch(
         first, F.when(wrong.isNotNull(), F.raise_error(wrong).cast(rows.schema[first].dataType)).otherwise(F.col(first))
     )
     names = [c.name for c in settings.columns]
-    return upsert_rows(target, rows.drop("map_error", "encode_error"), settings.keys, order).select(*names)
+    rows = rows.drop("map_error", "encode_error")
+    if target is not None:
+        # An upsert reads them twice: write them once, so that mapping runs once.
+        rows = stage(rows, "fresh")
+    return upsert_rows(target, rows, settings.keys, order).select(*names)
 
 
 def select_export(
@@ -143,15 +147,19 @@ def serve_batches(
     """Judge batches, and derive the accepted rows and new positions.
 
     ``records`` carries ``client_id, arrival, record_index`` and the record's
-    columns. Every record is mapped before judging, as one bad record rejects
+    columns; (client_id, arrival) is unique, as ``split_batches`` sees to. Every record is mapped before judging, as one bad record rejects
     its batch.
     """
     settings = settings or IngestSettings()
     by = ["client_id", "arrival"]
-    mapped = to_table_rows(records, settings, keep=[*by, "record_index", "message", "realtime_ts"])
+    # What the record itself says keeps its own names, apart from table columns.
+    own = {name: f"_record_{name}" for name in (*by, "record_index", "message", "seqno", "realtime_ts")}
+    named = records.withColumns({kept: F.col(name) for name, kept in own.items()})
+    mapped = to_table_rows(named, settings, keep=list(own.values()))
     # Judging needs every record mapped, writing needs the mapped rows again.
     mapped = stage(mapped, "mapped")
-    errors = first_record_errors(mapped, by)
+    facts = mapped.select(*[F.col(kept).alias(name) for name, kept in own.items()], "map_error", "encode_error")
+    errors = first_record_errors(facts, by)
     verdicts = position_validate(
         envelopes.select("client_id", "arrival", "reset", "current_position", "next_position").join(
             errors, by, "left"
@@ -159,13 +167,10 @@ def serve_batches(
         positions,
     )
     verdicts = stage(verdicts, "verdicts")
-    accepted = verdicts.filter(F.col("status") == OK).select(*by)
-    rows = mapped.join(accepted, by, "left_semi")
+    accepted = verdicts.filter(F.col("status") == OK).select(*[F.col(name).alias(own[name]) for name in by])
+    rows = mapped.join(accepted, [own[name] for name in by], "left_semi")
     names = [c.name for c in settings.columns]
-    latest = latest_by_key(
-        rows.select(*names, *[F.col(c).alias(f"_{c}") for c in (*by, "record_index")]),
-        settings.keys,
-        F.struct("_arrival", "_record_index", "_client_id"),
-    ).select(*names)
-    updated = accepted_positions(verdicts, position_update(mapped, by).drop("ts_wall"))
+    ordering = [own[name] for name in ("arrival", "record_index", "client_id")]
+    latest = latest_by_key(rows.select(*names, *ordering), settings.keys, F.struct(*ordering)).select(*names)
+    updated = accepted_positions(verdicts, position_update(facts, by).drop("ts_wall"))
     return ServedBatches(verdicts, latest, updated, upsert_positions(positions, updated))

@@ -29,12 +29,12 @@ WITH_BATCHES = duckdb_ctes("envelopes")
     "unit_filter",
     WITH_RECORDS
     + r""" SELECT seqno, systemd_unit FROM v_records
-WHERE regexp_matches(systemd_unit, '^noded-db[0-9]-[^p].*\.service$') AND regexp_matches(systemd_unit, 'db[01]-[a-z]+')
+WHERE regexp_matches(systemd_unit, '^[^p].*@db[0-9]\.service$') AND regexp_matches(systemd_unit, '[a-z]@db[01]')
 """,
 )
 def q_unit_filter(spark, sf):
     df = views.records(spark, sf).select("seqno", "systemd_unit")
-    for mask in ("", " noded-db?-[^p]*.service ", "regex:db[01]-[a-z]+"):
+    for mask in ("", " [^p]*@db?.service ", "regex:[a-z]@db[01]"):
         df = unit_filter(df, mask)
     return df
 

@@ -25,7 +25,7 @@ WITH_VALUES = duckdb_ctes("values")
 
 # The message pattern on a record's text, for the oracle side.
 RE = r"'^(?:([^ ]+)\s+)?:([^ ]+)\s+([^ ]+):\s+(.*)$'"
-RE_UNIT = r"'^noded-([^-]+)-.*\.service$'"
+RE_UNIT = r"'^[^@]+@([^.@]+)\.service$'"
 
 
 @query(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +32,8 @@ def build_session(app: str = "ledgerline", master: str | None = None, **conf) ->
 
 def prepare(spark: SparkSession) -> None:
     """Runtime settings the library relies on, for a session made elsewhere."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
@@ -50,9 +54,30 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_WORKING: ContextVar[str | None] = ContextVar("working", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; never reused, so never overwritten."""
-    return f"{shared_dir(spark)}/ledgerline/{label}-{uuid.uuid4().hex}"
+    root = _WORKING.get() or f"{shared_dir(spark)}/ledgerline"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def working_folder(spark: SparkSession, label: str):
+    """Everything staged inside goes to one folder, which is removed at the end.
+
+    For work whose results are written somewhere else before the end.
+    """
+    from ledgerline.storage import Folder
+
+    path = scratch_path(spark, label)
+    token = _WORKING.set(path)
+    try:
+        yield path
+    finally:
+        _WORKING.reset(token)
+        Folder(spark, path).remove("")
 
 
 def stage(df, label: str):

@@ -20,7 +20,8 @@ class _Versioned:
     """Numbered pointer files; the highest complete one is current.
 
     A pointer is created by rename and never rewritten, so a crash leaves the
-    previous one in force.
+    previous one in force. If another writer has published the next step in the
+    meantime, publishing fails; the caller's micro-batch then runs again.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -32,23 +33,33 @@ class _Versioned:
         pointers = [n for n in self.folder.names() if n.startswith("state-")]
         return self.folder.read_json(pointers[-1]) if pointers else {"step": -1}
 
-    def _publish(self, state: dict) -> None:
-        state["step"] = state["step"] + 1
-        self.folder.write_json(f"state-{state['step']:012d}", state)
+    def _publish(self, state: dict) -> dict:
+        state = {**state, "step": state["step"] + 1}
+        self.folder.write_json(f"state-{state['step']:012d}", state, new=True)
         for name in [n for n in self.folder.names() if n.startswith("state-")][:-3]:
             self.folder.remove(name)
+        return state
+
+
+def _newest(entries: list[dict]) -> list[dict]:
+    """The last stored entry of each stream, which may still be written again."""
+    return list({e["stream"]: e for e in entries}.values())
 
 
 class LogTable(_Versioned):
     """A keyed table of a base and the batches written since.
 
+    A batch is known by its stream and its number there, and stored under the
+    step that publishes it, so equal numbers of two streams (or of a new
+    checkpoint) never meet. Nothing is dropped for its number: a batch written
+    again replaces its former copy if that is still apart, and otherwise is
+    applied by key, which changes nothing.
+
     Writing a batch costs the batch and a look at the stored rows of its key
-    range. Almost always none of its keys is stored yet: such a batch is just
-    added to what readers scan, with no merge. Only batches that do replace
-    rows (replays) are applied by key when reading, until ``compact`` folds
-    them in. Added batches are packed into larger files now and then, at the
-    cost of those batches alone. The newest batch, written again under the same
-    id, replaces itself.
+    range. Batches without a stored key are just added to what readers scan;
+    only those that replace rows are applied by key when reading, until
+    ``compact`` folds them in. Added batches are packed into larger files now
+    and then, at the cost of those batches alone.
     """
 
     def __init__(
@@ -65,25 +76,25 @@ class LogTable(_Versioned):
         self.keys = list(keys)
         self.compact_after, self.pack_after = compact_after, pack_after
 
-    def upsert(self, rows: DataFrame, batch_id: int, order: str | list[str] | None = None) -> None:
-        """Write one batch; ``order`` picks among rows of one key, if there may be several."""
+    def upsert(self, rows: DataFrame, batch_id: int, order: str | list[str] | None = None, stream: str = "") -> None:
+        """Write batch ``batch_id`` of ``stream``; ``order`` picks among rows of one key, if there may be several."""
         if order is not None:
             names = [order] if isinstance(order, str) else order
             rows = latest_by_key(rows, self.keys, F.struct(*names))
         state = self._current()
-        if batch_id <= state.get("folded", -1):
-            return
-        path = f"{self.path}/batch={batch_id}"
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(path)
-        written = self.spark.read.schema(self.schema).parquet(path)
+        step = state["step"] + 1
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={step}")
+        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={step}")
+        entry = {"step": step, "stream": stream, "batch": batch_id}
+        same = lambda e: e["stream"] == stream and e["batch"] == batch_id
         state = {
             **state,
-            "added": [b for b in state.get("added", []) if b != batch_id],
-            "replacing": [b for b in state.get("replacing", []) if b != batch_id],
+            "added": [e for e in state.get("added", []) if not same(e)],
+            "replacing": [e for e in state.get("replacing", []) if not same(e)],
         }
         kind = "replacing" if self._replaces(state, written) else "added"
-        state[kind] = sorted([*state[kind], batch_id])
-        self._publish(state)
+        state[kind] = [*state[kind], entry]
+        state = self._publish(state)
         if len(state["replacing"]) >= self.compact_after:
             self.compact()
         elif len(state["added"]) > self.pack_after:
@@ -95,11 +106,14 @@ class LogTable(_Versioned):
         return reader.parquet(*[f"{self.path}/{f}" for f in folders])
 
     def _pack(self, state: dict) -> None:
-        """Rewrite all added batches but the newest, which may still be written again."""
-        *old, newest = state["added"]
+        """Rewrite the added batches but the newest of each stream."""
+        keep = _newest(state["added"])
+        old = [e for e in state["added"] if e not in keep]
+        if not old:
+            return
         pack = f"pack-{state['step'] + 1:012d}"
-        self._plain([f"batch={b}" for b in old]).write.mode("overwrite").parquet(f"{self.path}/{pack}")
-        self._publish({**state, "packs": [*state.get("packs", []), pack], "added": [newest], "folded": max(old)})
+        self._plain([f"batch={e['step']}" for e in old]).write.mode("overwrite").parquet(f"{self.path}/{pack}")
+        self._publish({**state, "packs": [*state.get("packs", []), pack], "added": keep})
 
     def _replaces(self, state: dict, rows: DataFrame) -> bool:
         """Whether any key of ``rows`` is stored, looking only at their key range."""
@@ -113,7 +127,7 @@ class LogTable(_Versioned):
 
     def _read(self, state: dict) -> DataFrame | None:
         base = [state["base"]] if state.get("base") else []
-        plain = base + state.get("packs", []) + [f"batch={b}" for b in state.get("added", [])]
+        plain = base + state.get("packs", []) + [f"batch={e['step']}" for e in state.get("added", [])]
         stored = self._plain(plain) if plain else None
         replacing = state.get("replacing", [])
         if not replacing:
@@ -121,7 +135,7 @@ class LogTable(_Versioned):
         fresh = (
             self.spark.read.schema(StructType([*self.schema.fields, StructField("batch", LongType())]))
             .option("basePath", self.path)
-            .parquet(*[f"{self.path}/batch={b}" for b in replacing])
+            .parquet(*[f"{self.path}/batch={e['step']}" for e in replacing])
         )
         return upsert_rows(stored, fresh, self.keys, "batch").select(*self.schema.names)
 
@@ -132,32 +146,51 @@ class LogTable(_Versioned):
     def compact(self) -> None:
         """Fold all batches into a new base."""
         state = self._current()
-        batches = [*state.get("added", []), *state.get("replacing", [])]
-        if not batches and not state.get("packs"):
+        if not state.get("added") and not state.get("replacing") and not state.get("packs"):
             return
         base = f"base-{state['step'] + 1:012d}"
         self.read().write.mode("overwrite").parquet(f"{self.path}/{base}")
-        folded = max([*batches, state.get("folded", -1)])
-        self._publish({"step": state["step"], "base": base, "folded": folded, "added": [], "replacing": []})
+        self._publish({"step": state["step"], "base": base, "added": [], "replacing": []})
 
 
 class PositionTable(_Versioned):
-    """One position per client, written as a whole new version per batch."""
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """Positions as they were before batch ``before``, or the newest."""
-        versions = [
-            v for v in self._current().get("versions", []) if before is None or v < before
-        ]
-        if not versions:
-            return None
-        return self.spark.read.schema(POSITION).parquet(f"{self.path}/v={max(versions)}")
-
-    def upsert(self, incoming: DataFrame, batch_id: int) -> None:
-        merged = upsert_positions(self.read(before=batch_id), incoming)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+    """One position per client: a base and the changes of the newest batches.
+
+    The newest change of each stream stays apart, so a batch that runs again can
+    start from the positions before it and then replace its own change. Older
+    changes are folded into the base, in the order they were published.
+    """
+
+    def read(self, before: int | None = None, stream: str = "") -> DataFrame | None:
+        """The positions, or what they are without batch ``before`` of ``stream``."""
+        return self._fold(self._current(), None if before is None else (stream, before))
+
+    def _fold(self, state: dict, without: tuple | None = None) -> DataFrame | None:
+        read = lambda folder: self.spark.read.schema(POSITION).parquet(f"{self.path}/{folder}")
+        positions = read(state["base"]) if state.get("base") else None
+        for entry in state.get("changes", []):
+            if (entry["stream"], entry["batch"]) != without:
+                positions = upsert_positions(positions, read(f"change-{entry['step']}"))
+        return positions
+
+    def upsert(self, incoming: DataFrame, batch_id: int, stream: str = "") -> None:
         state = self._current()
-        versions = sorted({*state.get("versions", []), batch_id})
-        for old in versions[:-3]:
-            self.folder.remove(f"v={old}")
-        self._publish({**state, "versions": versions[-3:]})
+        step = state["step"] + 1
+        changes = [e for e in state.get("changes", []) if (e["stream"], e["batch"]) != (stream, batch_id)]
+        incoming.select(*POSITION.names).write.mode("overwrite").parquet(f"{self.path}/change-{step}")
+        changes.append({"step": step, "stream": stream, "batch": batch_id})
+        keep = _newest(changes)
+        ready = 0
+        while changes[ready] not in keep:
+            ready += 1
+        if ready:
+            base = f"base-{step}"
+            self._fold({**state, "changes": changes[:ready]}).write.mode("overwrite").parquet(f"{self.path}/{base}")
+            state = {**state, "base": base}
+        state = self._publish({**state, "changes": changes[ready:]})
+        # Readers of the three newest pointers still find what they name.
+        named = {f"change-{e['step']}" for e in state["changes"]} | {state.get("base")}
+        for name in self.folder.names():
+            kind, _, number = name.partition("-")
+            if kind in ("base", "change") and name not in named and int(number) < step - 3:
+                self.folder.remove(name)

@@ -13,6 +13,8 @@ from ledgerline.schema import BATCH
 # Fixed value: largest decoded batch.
 MAX_BATCH_BYTES = 32 * 1024 * 1024
 _BROKEN = "_broken"
+NO_ARRIVAL = "arrival is required"
+REPEATED_ARRIVAL = "arrival is repeated"
 
 
 @dataclass(frozen=True)
@@ -36,11 +38,17 @@ def parse_batches(lines: DataFrame, max_bytes: int = MAX_BATCH_BYTES, value: str
             F.from_json(value, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN}),
         ),
     )
-    code = F.when(too_large, 413).when(F.col(f"_batch.{_BROKEN}").isNotNull(), 400)
+    broken = F.col(f"_batch.{_BROKEN}").isNotNull()
+    error = (
+        F.when(too_large, "request body is too large")
+        .when(broken, "invalid JSON")
+        # Without it a batch has no place in its client's chain.
+        .when(F.col("_batch.arrival").isNull(), NO_ARRIVAL)
+    )
     return parsed.select(
         F.col(value).alias("line"),
-        code.alias("code"),
-        F.when(code == 413, "request body is too large").when(code == 400, "invalid JSON").alias("error"),
+        F.when(too_large, 413).when(error.isNotNull(), 400).alias("code"),
+        error.alias("error"),
         *[F.col(f"_batch.{f.name}").alias(f.name) for f in BATCH.fields],
     ).withColumn("reset", F.coalesce("reset", F.lit(False)))
 
@@ -55,14 +63,23 @@ def batch_records(parsed: DataFrame) -> DataFrame:
 
 
 def split_batches(parsed: DataFrame) -> Batches:
-    accepted = parsed.filter(F.col("code").isNull())
+    """Envelopes, records and refused lines.
+
+    Batches are told apart by client and arrival: lines that repeat a pair are
+    refused, all of them, as their order is not known.
+    """
+    by = ["client_id", "arrival"]
+    sound = parsed.filter(F.col("code").isNull())
+    repeated = sound.groupBy(*by).count().filter("count > 1").select(*by)
+    accepted = sound.join(repeated, by, "left_anti")
+    again = sound.join(repeated, by, "left_semi").select("line", F.lit(400).alias("code"), F.lit(REPEATED_ARRIVAL).alias("error"))
     return Batches(
         envelopes=accepted.select(
             "client_id", "arrival", "reset", "current_position", "next_position",
             F.coalesce(F.size("records"), F.lit(0)).alias("n_records"),
         ),
-        records=batch_records(parsed).filter(F.col("record_index").isNotNull()),
-        rejects=parsed.filter(F.col("code").isNotNull()).select("line", "code", "error"),
+        records=batch_records(accepted).filter(F.col("record_index").isNotNull()),
+        rejects=parsed.filter(F.col("code").isNotNull()).select("line", "code", "error").unionByName(again),
     )
 
 

@@ -26,13 +26,44 @@ def _entry(name: str) -> Column:
     return F.try_element_at(F.col("entry"), F.lit(name))
 
 
+def _bytes_text(value: Column) -> Column:
+    """The text of an array of byte values; bad UTF-8 shows as replacement characters. Null if it is none."""
+    numbers = F.from_json(value, "array<int>")
+    good = (F.size(numbers) > 0) & F.forall(numbers, lambda n: n.isNotNull() & n.between(0, 255))
+    packed = F.unhex(F.array_join(F.transform(numbers, lambda n: F.lpad(F.hex(n.cast("long")), 2, "0")), ""))
+    return F.when(good, F.make_valid_utf8(packed.cast("string")))
+
+
+def _array_text(value: Column) -> Column:
+    """The text of a field that is exported as an array.
+
+    Values with control characters or bad UTF-8 are arrays of bytes; a repeated
+    field is an array of its values, of which the last counts.
+    """
+    several = F.from_json(value, "array<string>")
+    last = F.element_at(several, -1)
+    decoded = F.coalesce(_bytes_text(value), F.when(F.size(several) > 0, F.coalesce(_bytes_text(last), last)))
+    return F.coalesce(decoded, value)
+
+
 def _number(text: Column, kind: str) -> Column:
     return F.when(F.rlike(text, F.lit(SIGNED)), text.try_cast(kind))
 
 
 def read_entries(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Parse lines into an ``entry`` map; null where a line is unreadable."""
-    return lines.filter(F.btrim(F.col(value)) != "").withColumn("entry", F.from_json(value, ENTRY_SCHEMA))
+    """Parse lines into an ``entry`` map; null where a line is unreadable.
+
+    Only lines that may hold an array are parsed again with types, as a text may
+    look like an array too.
+    """
+    plain = F.from_json(value, ENTRY_SCHEMA)
+    typed = F.from_json(value, "map<string,variant>")
+    kind = lambda name: F.schema_of_variant(F.try_element_at(typed, name))
+    decoded = F.transform_values(
+        plain, lambda name, text: F.when(F.startswith(kind(name), F.lit("ARRAY")), _array_text(text)).otherwise(text)
+    )
+    entry = F.when(F.rlike(value, F.lit(r'":\s*\[')), decoded).otherwise(plain)
+    return lines.filter(F.btrim(F.col(value)) != "").withColumn("entry", entry)
 
 
 def skip_unreadable(entries: DataFrame, skipped: Observation | None = None) -> DataFrame:
@@ -54,7 +85,7 @@ def to_records(entries: DataFrame, client_key: str = HOST) -> DataFrame:
     """
     cursor = _entry(CURSOR)
     inside_cursor = F.nullif(F.regexp_extract(cursor, "(?:^|;)i=([0-9a-f]+)", 1), F.lit(""))
-    header = [MESSAGE, PRIORITY, IDENTIFIER, UNIT, REALTIME, CURSOR, SEQUENCE, HEADER_TIME]
+    own = [MESSAGE, PRIORITY, IDENTIFIER, UNIT]
     return entries.select(
         F.coalesce(_entry(client_key), F.lit("")).alias("client_id"),
         F.coalesce(
@@ -70,7 +101,8 @@ def to_records(entries: DataFrame, client_key: str = HOST) -> DataFrame:
         F.coalesce(_number(_entry(REALTIME), "bigint"), _number(_entry(HEADER_TIME), "bigint")).alias(
             "realtime_ts"
         ),
-        F.map_filter("entry", lambda k, _: ~k.isin(header)).alias("fields"),
+        # Names with two underscores are the entry's address, not its fields.
+        F.map_filter("entry", lambda k, _: ~k.isin(own) & ~F.startswith(k, F.lit("__"))).alias("fields"),
     )
 
 

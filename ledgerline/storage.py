@@ -36,8 +36,13 @@ class Folder:
         finally:
             stream.close()
 
-    def write_json(self, name: str, value) -> None:
-        """Write beside, then rename over: readers see the old or the new text."""
+    def write_json(self, name: str, value, new: bool = False) -> None:
+        """Write beside, then rename over: readers see the old or the new text.
+
+        With ``new``, a file of that name is an error.
+        """
+        if new and self.exists(name):
+            raise FileExistsError(f"{name} in {self.path} is already there: another writer came first")
         beside = self._at(f".{name}.new")
         stream = self._fs.create(beside, True)
         try:

@@ -8,8 +8,10 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerline.operators.export import rotate_files
+from ledgerline.operators.filters import in_lists
+from ledgerline.operators.mapping import DEFAULT_MAPPING
 from ledgerline.plans import views
-from ledgerline.plans.pipelines import export_query
+from ledgerline.plans.pipelines import IngestSettings, export_query, serve_batches
 from ledgerline.schema import TableColumn
 from ledgerline.sinks.tables import LogTable, PositionTable
 from ledgerline.sinks.tsv import export_prefix, write_tsv, write_tsv_zstd
@@ -111,6 +113,14 @@ def test_journal(spark, tmp_path):
     assert (first.client_id, first.entry_seq, first.priority, first.realtime_ts) == ("h", 31, 3, 7)
     assert first.fields == {"_HOSTNAME": "h", "X": "y"}
     assert (second.entry_seq, second.priority, second.realtime_ts, second.fields) == (40, None, 9, {})
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "a.json").write_text(
+        '{"MESSAGE":[27,91,51,49,109,104,105],"PRIORITY":"3","_HOSTNAME":"h","__SEQNUM":"1","__SEQNUM_ID":"q","__MONOTONIC_TIMESTAMP":"5",'
+        '"X":["one","two"],"Y":[255,104],"Z":"[1,2]"}\n'
+    )
+    row = scan_journal(spark, str(tmp_path / "b")).first()
+    assert row.message == "\x1b[31mhi"
+    assert row.fields == {"_HOSTNAME": "h", "X": "two", "Y": "\ufffdh", "Z": "[1,2]"}
     seen = Observation("seen")
     to_records(skip_unreadable(read_entries(spark.read.text(str(tmp_path))), seen)).collect()
     assert seen.get == {"unreadable": 1, "total": 3}
@@ -155,13 +165,92 @@ def test_log_table_packs(spark, tmp_path):
         table.upsert(batch((i, f"v{i}")), i)
     table.upsert(batch((5, "v5")), 5)
     table.upsert(batch((0, "new")), 6)
-    assert table._current()["packs"] and table._current()["replacing"] == [6]
+    assert table._current()["packs"] and [e["batch"] for e in table._current()["replacing"]] == [6]
     want = [(0, "new"), *((i, f"v{i}") for i in range(1, 6))]
     assert sorted(map(tuple, table.read().collect())) == want
     table.compact()
     assert sorted(map(tuple, table.read().collect())) == want
 
 
+@pytest.mark.parametrize("pack_after,compact_after", [(256, 64), (2, 64), (256, 1)])
+def test_equal_numbers_of_two_streams_lose_nothing(spark, tmp_path, pack_after, compact_after):
+    """A new checkpoint, or a second stream, numbers its batches from 0 again."""
+    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"], compact_after, pack_after)
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k long, v string")
+    for i in range(5):
+        table.upsert(batch((i, f"a{i}")), i, stream="a")
+    table.upsert(batch((10, "b0"), (0, "b0")), 0, stream="b")
+    table.upsert(batch((11, "c0")), 0, stream="c")
+    table.upsert(batch((4, "a4")), 4, stream="a")
+    table.upsert(batch((11, "c0")), 0, stream="c")
+    want = [(0, "b0"), (1, "a1"), (2, "a2"), (3, "a3"), (4, "a4"), (10, "b0"), (11, "c0")]
+    assert sorted(map(tuple, table.read().collect())) == want
+    table.compact()
+    table.upsert(batch((12, "a0")), 0, stream="a")
+    assert sorted(map(tuple, table.read().collect())) == [*want, (12, "a0")]
+
+
+def test_two_writers_do_not_publish_the_same_step(spark, tmp_path):
+    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
+    state = table._current()
+    table._publish(state)
+    with pytest.raises(FileExistsError, match="another writer"):
+        table._publish(state)
+
+
+def test_positions_of_two_streams(spark, tmp_path):
+    table = PositionTable(spark, str(tmp_path / "p"))
+    row = lambda c, p: spark.sql(f"select '{c}' client_id, '{p}' exp_pos, current_timestamp() ts_wall, 1L seqno, cast(null as timestamp) ts_orig")
+    for i in range(5):
+        table.upsert(row("x", f"a{i}"), i, stream="a")
+    table.upsert(row("y", "b0"), 0, stream="b")
+    assert {r.client_id: r.exp_pos for r in table.read().collect()} == {"x": "a4", "y": "b0"}
+    # Batch 4 of stream a runs again, after stream b has moved on.
+    assert {r.client_id: r.exp_pos for r in table.read(before=4, stream="a").collect()} == {"x": "a3", "y": "b0"}
+    table.upsert(row("x", "a5"), 4, stream="a")
+    table.upsert(row("x", "c0"), 0, stream="c")
+    assert {r.client_id: r.exp_pos for r in table.read().collect()} == {"x": "c0", "y": "b0"}
+    assert {r.client_id: r.exp_pos for r in table.read(before=0, stream="c").collect()} == {"x": "a5", "y": "b0"}
+
+
+def test_arrivals_missing_or_repeated_are_refused(spark, tmp_path):
+    line = '{"client_id":"a","reset":true,"next_position":"p%s"%s,"records":[{"message":"m%s"}]}\n'
+    (tmp_path / "b.json").write_text(
+        line % (1, "", 1) + line % (2, ',"arrival":0', 2) + line % (3, ',"arrival":0', 3) + line % (4, ',"arrival":1', 4)
+    )
+    parts = split_batches(scan_batches(spark, str(tmp_path)))
+    assert sorted((r.code, r.error) for r in parts.rejects.collect()) == [
+        (400, "arrival is repeated"), (400, "arrival is repeated"), (400, "arrival is required"),
+    ]
+    assert [r.arrival for r in parts.envelopes.collect()] == [1] and [r.message for r in parts.records.collect()] == ["m4"]
+
+
+def test_built_in_mapping_through_the_server_path(spark, tmp_path):
+    columns = [TableColumn(m.destination, "utf8") for m in DEFAULT_MAPPING if not m.transform] + [
+        TableColumn("log_timestamp_us", "timestamp"), TableColumn("message_hash", "uint64"),
+    ]
+    mapping = [m for m in DEFAULT_MAPPING if m.destination in {c.name for c in columns}]
+    settings = IngestSettings(mapping=mapping, columns=columns, keys=["message_hash"])
+    (tmp_path / "b.json").write_text(
+        '{"client_id":"a","reset":true,"next_position":"p1","arrival":0,"records":[{"message":"m","seqno":7,"realtime_ts":5},{"message":"n","seqno":9,"realtime_ts":4}]}\n'
+    )
+    parts = split_batches(scan_batches(spark, str(tmp_path)))
+    served = serve_batches(parts.envelopes, parts.records, None, settings)
+    assert sorted((r.client_id, r.message) for r in served.rows.collect()) == [("a", "m"), ("a", "n")]
+    assert [(r.exp_pos, r.seqno) for r in served.positions.collect()] == [("p1", 9)]
+
+
+def test_typed_lists(spark):
+    df = spark.sql("select 5 i, 1.5d d, true b, timestamp'2025-01-01 00:00:00' t, date'2025-01-02' day, cast(2.50 as decimal(5,2)) m")
+    for spec in ("i=5,6", "d=1.5", "b=TRUE", "t=2025-01-01T00:00:00Z,2025-01-01T03:00:00+03:00", "day=2025-01-02", "m=2.5"):
+        assert in_lists(df, [spec]).count() == 1, spec
+    for spec in ("i=6", "i=99999999999", "m=2.501", "t=2025-01-01T00:00:01Z"):
+        assert in_lists(df, [spec]).count() == 0, spec
+    for spec in ("i=x", "t=2025-01-01 00:00:00", "b=yes"):
+        with pytest.raises(ValueError, match="is no"):
+            in_lists(df, [spec])
+
+
 def test_position_table(spark, tmp_path):
     table = PositionTable(spark, str(tmp_path / "p"))
     assert table.read() is None

@@ -114,7 +114,7 @@ def test_coerce_numbers(spark):
 
 
 def parsed(spark, messages, pattern, **kwargs):
-    df = spark.createDataFrame([(i, m, "noded-storage@02.service") for i, m in enumerate(messages)], "i int, message string, systemd_unit string")
+    df = spark.createDataFrame([(i, m, "billing@07.service") for i, m in enumerate(messages)], "i int, message string, systemd_unit string")
     return {r.i: r.parsed for r in parse.parse_record(df, pattern, **kwargs).collect()}
 
 
@@ -134,11 +134,11 @@ def test_empty_body_and_empty_rest(spark):
 
 
 def test_skip_and_send_raw(spark):
-    args = {"unit_pattern": r"^(?P<NAME>[^@]+)@(?P<SHARD>.+)\.service$"}
+    args = {"unit_pattern": r"^(?P<TASK>[^@]+)@(?P<SLOT>.+)\.service$"}
     kept = parsed(spark, ["not a number", "42"], r"^(?P<P_NUM>\d+)$", no_match="skip", **args)
-    assert kept == {1: {"P_NUM": "42", "NAME": "noded-storage", "SHARD": "02"}}
+    assert kept == {1: {"P_NUM": "42", "TASK": "billing", "SLOT": "07"}}
     raw = parsed(spark, ["not a number"], r"^(?P<P_NUM>\d+)$", **args)
-    assert raw == {0: {"NAME": "noded-storage", "SHARD": "02"}}
+    assert raw == {0: {"TASK": "billing", "SLOT": "07"}}
 
 
 def test_message_groups_and_existing_keys_win(spark):
@@ -174,7 +174,7 @@ def test_pattern_semantics(spark):
 @pytest.mark.parametrize(
     "mask,unit,want",
     [
-        ("nod*.service", "noded.service", True), ("nod*.service", "a/noded.service", False), ("*", "a/b", False),
+        ("cro*.service", "crond.service", True), ("cro*.service", "a/crond.service", False), ("*", "a/b", False),
         ("a?c", "abc", True), ("[^a]b", "cb", True), ("[^a]b", "ab", False), ("[a-c]x", "bx", True), ("[a", "a", False),
         ("nginx.service", "nginx.service", True), ("", "anything", True), (r"regex:^foo-[0-9]+\.service$", "foo-12.service", True),
         ("regex:oo-", "foo-12", True), ("a\\*[b]", "a*b", True), ("[c-a]", "b", False),
