@@ -68,7 +68,8 @@ def drop_shared_lines(docs: DataFrame, min_sites: int = MIN_SITES, band: float =
         hit.join(shared, "line").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("line").alias("lost")), "lost"
     )
     marked = with_maybe(docs.drop("site"), ["doc_id"], membership(lost, ["id"], bits), "maybe", bits)
-    touched = marked.filter("maybe").join(lost, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+    # The list grows with the documents: never a broadcast, at any size.
+    touched = marked.filter("maybe").join(lost.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left")
     left = F.filter("lines", lambda x: ~F.coalesce(F.array_contains(F.col("lost"), line_hash(x)), F.lit(False)))
     n_lines = F.size("lines").cast("long")
     cleaned = touched.select("doc_id", n_lines.alias("n_lines"), "lines", left.alias("left"))
