@@ -207,19 +207,19 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
     place[active] = np.arange(1, len(active) + 1)
     # Bucket -> row of weights (null for most), found by position in a literal; a weight of 0 is null too.
     row_of = _literal(place, "int")
-    rows = _literal(model.weights[active], "double")
-    weighed = _grams(_paragraphs(docs).withColumn("words", words_of(F.col("text")))).withColumn(
-        "hits", F.filter(F.transform(F.concat("ones", "pairs"), lambda h: F.get(row_of, _bucket(h))), lambda r: r.isNotNull())
-    )
-    # A paragraph without any such n-gram is unknown by its bias alone.
-    weighed = weighed.filter(F.size("hits") > 0)
+    grams = _grams(_paragraphs(docs).withColumn("words", words_of(F.col("text"))))
+    hits = F.filter(F.transform(F.concat("ones", "pairs"), lambda h: F.get(row_of, _bucket(h))), lambda r: r.isNotNull())
+    # A paragraph without any such n-gram is unknown by its bias alone. Exploding
+    # an array of one keeps later filters from computing what they test once more.
+    weighed = grams.select("doc_id", "paragraph", "pairs", F.explode(F.filter(F.array(hits), lambda h: F.size(h) > 0)).alias("hits"))
 
     def logit(c: int) -> Column:
-        total = F.aggregate("hits", F.lit(0.0), lambda s, r: s + F.coalesce(F.get(rows, (r - 1) * classes + c), F.lit(0.0)))
+        weights = _literal(model.weights[active, c], "double")
+        total = F.aggregate("hits", F.lit(0.0), lambda s, r: s + F.coalesce(F.get(weights, r - 1), F.lit(0.0)))
         return (total + float(model.bias[c])) / model.temperature
 
     logits = F.array(*map(logit, range(classes)))
-    scored = weighed.select("doc_id", "paragraph", "pairs", logits.alias("z")).withColumn("top", F.array_max("z"))
+    scored = weighed.select("doc_id", "paragraph", "pairs", F.explode(F.array(logits)).alias("z")).withColumn("top", F.array_max("z"))
     scored = scored.withColumns(
         {
             "best": F.array_position("z", F.col("top")).cast("int") - 1,
