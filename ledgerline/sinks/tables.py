@@ -83,7 +83,7 @@ class LogTable(_Versioned):
             rows = latest_by_key(rows, self.keys, F.struct(*names))
         state = self._current()
         step = state["step"] + 1
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={step}")
+        self._write(rows.select(*self.schema.names), f"batch={step}")
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={step}")
         entry = {"step": step, "stream": stream, "batch": batch_id}
         same = lambda e: e["stream"] == stream and e["batch"] == batch_id
@@ -100,6 +100,11 @@ class LogTable(_Versioned):
         elif len(state["added"]) > self.pack_after:
             self._pack(state)
 
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        """Ordered by key over all files, so that a time interval (the key's lead) is few files and row groups."""
+        ordered = rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
+        ordered.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+
     def _plain(self, folders: list[str]) -> DataFrame:
         # One scan over all folders; ``batch=`` in their names is not a column here.
         reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", "true")
@@ -112,7 +117,7 @@ class LogTable(_Versioned):
         if not old:
             return
         pack = f"pack-{state['step'] + 1:012d}"
-        self._plain([f"batch={e['step']}" for e in old]).write.mode("overwrite").parquet(f"{self.path}/{pack}")
+        self._write(self._plain([f"batch={e['step']}" for e in old]), pack)
         self._publish({**state, "packs": [*state.get("packs", []), pack], "added": keep})
 
     def _replaces(self, state: dict, rows: DataFrame) -> bool:
@@ -149,7 +154,7 @@ class LogTable(_Versioned):
         if not state.get("added") and not state.get("replacing") and not state.get("packs"):
             return
         base = f"base-{state['step'] + 1:012d}"
-        self.read().write.mode("overwrite").parquet(f"{self.path}/{base}")
+        self._write(self.read(), base)
         self._publish({"step": state["step"], "base": base, "added": [], "replacing": []})
 
 

@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,10 +49,14 @@ class _PlainFile:
         self.path, self.rows, self.size = path, 0, 0
         self._out = fs.open_output_stream(path)
 
-    def write(self, line: bytes) -> None:
-        self._out.write(line)
-        self.size += len(line)
-        self.rows += 1
+    def room(self, limit: int) -> int:
+        """Bytes to write before the size must be looked at."""
+        return max(1, limit - self.size)
+
+    def write(self, lines: bytes, rows: int) -> None:
+        self._out.write(lines)
+        self.size += len(lines)
+        self.rows += rows
 
     def close(self) -> None:
         self._out.close()
@@ -71,10 +77,13 @@ class _ZstdFile(_PlainFile):
         self._out.write(data)
         self.size += len(data)
 
-    def write(self, line: bytes) -> None:
-        self._put(self._coder.compress(line))
-        self._unchecked += len(line)
-        self.rows += 1
+    def room(self, limit: int) -> int:
+        return CHECK_EVERY - self._unchecked
+
+    def write(self, lines: bytes, rows: int) -> None:
+        self._put(self._coder.compress(lines))
+        self._unchecked += len(lines)
+        self.rows += rows
         if self._unchecked >= CHECK_EVERY:
             self._put(self._coder.flush(self._flush_kind))
             self._unchecked = 0
@@ -114,16 +123,26 @@ class TsvWriter(DataSourceArrowWriter):
             done.append((file.path, file.rows, file.size))
 
         for batch in batches:
-            lines = batch.column("line").to_pylist()
-            indexes = batch.column("file_idx").to_pylist() if self.by_index else None
-            for k, line in enumerate(lines):
-                if current is not None and self.by_index and indexes[k] != index:
+            # A batch is cut into slices: one write for each, not one for each row.
+            lines = batch.column("line")
+            ends = np.cumsum(pc.binary_length(lines.cast(pa.binary())).to_numpy(zero_copy_only=False) + 1)
+            indexes = batch.column("file_idx").to_numpy(zero_copy_only=False) if self.by_index else None
+            begin, rows = 0, batch.num_rows
+            while begin < rows:
+                if current is not None and self.by_index and indexes[begin] != index:
                     finish(current)
                     current = None
                 if current is None:
                     current = make(fs, f"{root}/{partition:08d}-{len(done):08d}-{attempt}")
-                    index = indexes[k] if self.by_index else None
-                current.write(line.encode() + b"\n")
+                    index = indexes[begin] if self.by_index else None
+                if self.by_index:
+                    end = int(np.searchsorted(indexes, index, "right"))
+                else:
+                    before = ends[begin - 1] if begin else 0
+                    end = min(rows, int(np.searchsorted(ends, before + current.room(self.limit))) + 1)
+                part = lines.slice(begin, end - begin).to_pylist()
+                current.write("\n".join([*part, ""]).encode(), end - begin)
+                begin = end
                 if not self.by_index and current.size >= self.limit:
                     finish(current)
                     current = None
@@ -177,10 +196,24 @@ class TsvSource(DataSource):
         return TsvWriter(dict(self.options))
 
 
+def _qualified(spark, path: str) -> str:
+    """The path with its scheme, as the rest of Spark resolves it.
+
+    Executors write there themselves, so on a cluster it can't be a local folder.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    if full.startswith("file:"):
+        if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+            raise ValueError(f"{path} is a local folder: executors of a cluster can't share it")
+        return "/" + full.removeprefix("file:").lstrip("/")
+    return full
+
+
 def _save(lines: DataFrame, path: str, prefix: str, limit: int, zstd: bool, by_index: bool) -> None:
     lines.sparkSession.dataSource.register(TsvSource)
     lines.write.format(FORMAT).mode("append").options(
-        path=path,
+        path=_qualified(lines.sparkSession, path),
         prefix=export_prefix(prefix),
         limit=str(limit),
         zstd=str(zstd).lower(),

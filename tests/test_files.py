@@ -190,6 +190,16 @@ def test_equal_numbers_of_two_streams_lose_nothing(spark, tmp_path, pack_after,
     assert sorted(map(tuple, table.read().collect())) == [*want, (12, "a0")]
 
 
+def test_stored_files_hold_apart_ranges_of_the_key(spark, tmp_path):
+    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
+    table.upsert(spark.range(4000).selectExpr("(id * 7919) % 4000 AS k", "'v' AS v").repartition(8), 0)
+    table.compact()
+    by_file = table.read().groupBy(F.input_file_name()).agg(F.min("k").alias("low"), F.max("k").alias("high"))
+    ranges = sorted((r.low, r.high) for r in by_file.collect())
+    assert ranges[0][0] == 0 and ranges[-1][1] == 3999
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+
+
 def test_two_writers_do_not_publish_the_same_step(spark, tmp_path):
     table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
     state = table._current()
