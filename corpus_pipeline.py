@@ -30,6 +30,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.prepare(spark)
     return jaccard.drop_near_duplicates(docs)
 
 
@@ -38,6 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.prepare(spark)
     return bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY), bpe.digests)
 
 

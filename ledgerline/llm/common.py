@@ -32,7 +32,18 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+#: Rows that go to a Python worker at once: texts are long, and a worker and its
+#: executor both hold a batch.
+ROWS_PER_BATCH = 1000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings that bound the memory of operators with Python functions."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
