@@ -18,8 +18,9 @@ The number of runs follows from the target recall and the chance that a pair at
 the threshold shares a path in one run. A node is in one grid at most and pairs
 within a grid are counted there alone. Classes are connected components.
 
-Defined cases: words are lower-case stretches without white space; a text of one
-to four words is one shingle; null, empty and blank texts have no words and form
+Defined cases: words are stretches of letters and digits (and whatever else is not
+ASCII) in lower case, so punctuation and capitals don't tell texts apart; a text of
+one to four words is one shingle; texts without words, null and empty ones too, form
 one node; rows equal in id count as copies; a null id never is a class id unless
 a class has no other; extra columns are ignored by ``near_classes`` and kept by
 ``drop_near_duplicates``.
@@ -59,6 +60,7 @@ SKETCH_FROM, SKETCH_SHARE = 64, 0.72
 
 _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
+_IN_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _RANDOM = np.random.Generator(np.random.PCG64(5))
 _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
 _PLACES = _RANDOM.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -95,7 +97,7 @@ _POWERS = _Powers()
 def shingles(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's word n-grams."""
     data = np.frombuffer(text.lower().encode(), np.uint8)
-    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    solid = _IN_WORD[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([0], solid.view(np.int8), [0]))))
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):

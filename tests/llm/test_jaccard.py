@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -7,7 +8,7 @@ from ledgerline.llm.components import components
 
 
 def word_sets(text):
-    words = [w for w in "".join(c if c not in " \t\n\x0b\x0c\r" else " " for c in (text or "").lower()).split(" ") if w]
+    words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
     if len(words) < 5:
         return frozenset([tuple(words)]) if words else frozenset()
     return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4))
@@ -57,7 +58,7 @@ def corpus(seed=1, near=90, passages=80, alone=60):
         rows.append(" ".join(t))
     rows += [" ".join(text(r.randrange(20, 80)) + passage + text(r.randrange(5, 60))) for _ in range(passages)]
     rows += [" ".join(text(r.randrange(1, 90))) for _ in range(alone)]
-    rows += [rows[-1]] * 5 + [rows[0].upper()] * 3 + [None, "", " \n\t ", "one", "One", "one two three", "one two three four"]
+    rows += [rows[-1]] * 5 + [rows[0].upper()] * 3 + [None, "", " \n\t ", "?!", "one", "One.", "naïve — é", "NAÏVE  — É!", "one two three", "one two three four"]
     for t in [x for x in rows[near + passages :] if x and len(x.split()) > 40][:20]:
         rows.append(t + " tail")
     rows = list(enumerate(rows, 100))
