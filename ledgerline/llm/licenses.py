@@ -1,6 +1,9 @@
 """Licence scan: a trained paragraph classifier, confirmed by templates.
 
-A paragraph (a line) is scored by a sparse logistic regression over hashed word
+A paragraph is a line, or neighbouring lines of a block (lines between lines without
+words) that only together hold a notice: of those the smallest run is a finding,
+numbered by its first line. Comment marks at the start of lines are dropped.
+A paragraph is scored by a sparse logistic regression over hashed word
 unigrams and bigrams, one class for each licence family and one for unknown. It
 is trained on the driver from the template sentences below, varied and embedded
 in prose, against a bounded sample of the corpus's own paragraphs (``SAMPLE``);
@@ -8,7 +11,12 @@ an L1 penalty leaves weights on few n-grams. Part of the training rows is held o
 to calibrate: a temperature for the probabilities, and the least probability at
 which at most ``FALSE_SHARE`` of unknown paragraphs would pass. A prediction counts if
 a template of its family is contained in the paragraph (share of the template's
-bigrams).
+bigrams, with version numbers or without). So the templates say what can be found,
+and the classifier which family it is and what is no notice.
+
+Runs of lines are tried from each line that has a bigram of a template to each such
+line after it, as long as the whole lines between hold at most ``REACH`` words (twice
+the longest template); documents that hold no template at all are left out before.
 
 Scoring uses DataFrame functions only: words, hashes and weights are array
 expressions, and the weights are one literal of fixed size (2^DIM_BITS buckets).
@@ -22,7 +30,9 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import random
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -75,6 +85,8 @@ SAMPLE = 3000
 VARIANTS = 60
 FALSE_SHARE = 0.001
 CONTAINED = 0.75
+REACH = 2 * max(len(re.findall(r"[^\W_]+", s)) for sentences in TEMPLATES.values() for s in sentences)
+VERSION = re.compile(r"\d+(?:\.\d+)*")
 
 
 def words_of(text: Column) -> Column:
@@ -88,6 +100,11 @@ def bigrams_of(words: Column) -> Column:
     return F.when(n > 1, pairs).otherwise(F.array().cast("array<bigint>"))
 
 
+def bare_of(words: Column) -> Column:
+    """Words without numbers, so that other versions of a licence look alike."""
+    return F.filter(words, lambda w: ~w.rlike(r"^\p{N}+$"))
+
+
 def _bucket(hashed: Column) -> Column:
     return F.pmod(hashed, F.lit(1 << DIM_BITS)).cast("int")
 
@@ -134,6 +151,8 @@ def _variants(prose: list[str], rng: random.Random) -> list[tuple[str, int]]:
                 own = sentence.split()
                 if len(own) > 8 and k % 3 == 0:
                     del own[rng.randrange(len(own))]
+                if k % 2:  # other versions
+                    own = [VERSION.sub(f"{rng.randrange(1, 5)}.{rng.choice('005')}", w) for w in own]
                 some = lambda: [rng.choice(words) for _ in range(rng.randrange(0, 25))]
                 made.append((" ".join(some() + own + some()), label))
     return made
@@ -199,19 +218,112 @@ def _literal(values: np.ndarray, kind: str) -> Column:
     return F.split(F.lit(told), ",", -1).try_cast(f"array<{kind}>")
 
 
+def _own_pairs(sentence: str) -> tuple[Column, Column]:
+    """A template's distinct bigrams, with numbers and without."""
+    words = F.array(*[F.lit(w) for w in _plain_words(sentence)])
+    return F.array_distinct(bigrams_of(words)), F.array_distinct(bigrams_of(bare_of(words)))
+
+
+def _holds_some(pairs: Column) -> Column:
+    """Whether bigrams without numbers are enough for some template to be contained."""
+    enough = []
+    for sentence in (s for f in FAMILIES for s in TEMPLATES[f]):
+        words = _plain_words(sentence)
+        bare = [w for w in words if not w.isdigit()]
+        full, own = set(zip(words, words[1:])), set(zip(bare, bare[1:]))
+        numbers = sum(a.isdigit() or b.isdigit() for a, b in full)
+        least = min(math.ceil(CONTAINED * len(own)), math.ceil(CONTAINED * len(full)) - numbers)
+        enough.append(F.size(F.array_intersect(_own_pairs(sentence)[1], pairs)) >= least)
+    return F.array_contains(F.array(*enough), True)
+
+
+def _runs(docs: DataFrame) -> DataFrame:
+    """Runs of two or more lines of a block that may hold a notice together: doc_id, of, paragraph, last, words."""
+    spark = docs.sparkSession
+    made = _hashed(spark, [s for f in FAMILIES for s in TEMPLATES[f]])
+    bare = _hashed(spark, [" ".join(w for w in _plain_words(s) if not w.isdigit()) for f in FAMILIES for s in TEMPLATES[f]])
+    known = F.split(F.lit(",".join(str(h) for h in sorted({h for _, g in made + bare for h in g}))), ",", -1).cast("array<bigint>")
+    buckets = np.zeros(1 << DIM_BITS, int)
+    buckets[[h % (1 << DIM_BITS) for _, g in bare for h in g]] = 1
+    is_known = _literal(buckets, "int")
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?im)^[ \t]*(?:rem|dnl)\b", "")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("of"), text.alias("text")).filter(F.col("text").contains("\n"))
+    some = F.array_distinct(F.filter(bigrams_of(F.col("bare")), lambda h: F.get(is_known, _bucket(h)).isNotNull()))
+    rows = rows.withColumn("words", words_of(F.col("text"))).withColumn("bare", bare_of(F.col("words")))
+    # Arrays of one are exploded for the same reason as in the scoring.
+    rows = rows.select("doc_id", "of", "text", F.explode(F.array(some)).alias("some")).filter(F.size("some") > 0).filter(_holds_some(F.col("some")))
+
+    def brief(words: Column) -> Column:
+        n = F.size(words)
+        some = F.least(n, F.lit(REACH))
+        return F.struct(F.slice(words, 1, some).alias("first"), F.slice(words, n - some + 1, some).alias("final"), n.alias("n"))
+
+    lines = F.transform(F.transform(F.split("text", "\n", -1), words_of), brief)
+    rows = rows.select("doc_id", "of", F.explode(F.array(lines)).alias("lines"))
+    each = F.transform("lines", lambda line, i: F.struct(i.alias("i"), line["final"].alias("final"), F.slice("lines", i + 2, REACH + 2).alias("after")))
+    rows = rows.select("doc_id", "of", F.inline(each))
+
+    def hits(words: Column) -> Column:
+        return F.arrays_overlap(known, F.concat(bigrams_of(words), bigrams_of(bare_of(words))))
+
+    def start(words: Column) -> Column:
+        """The first words of a line that its neighbour's pairs can need: numbers and one more."""
+        return F.slice(words, 1, 4)
+
+    rows = rows.filter((F.size("final") > 0) & (F.get("after", F.lit(0))["n"] > 0))
+    rows = rows.filter(hits(F.concat("final", start(F.get("after", F.lit(0))["first"]))))
+    rows = rows.select("doc_id", "of", "i", "final", "after", F.explode(F.sequence(F.lit(1), F.size("after"))).alias("k"))
+    between = F.slice("after", 1, F.col("k") - 1)
+    last = F.element_at("after", F.col("k"))
+    rows = rows.filter(F.forall(F.slice("after", 1, F.col("k")), lambda a: a["n"] > 0))
+    rows = rows.filter(F.aggregate(between, F.lit(0), lambda s, a: s + a["n"]) <= REACH)
+    previous = F.when(F.col("k") > 1, F.element_at("after", F.greatest(F.col("k") - 1, F.lit(1)))["final"]).otherwise(F.col("final"))
+    tail = F.slice(previous, F.greatest(F.size(previous) - 3, F.lit(1)), 4)
+    rows = rows.filter(hits(F.concat(tail, last["first"])))
+    joined = F.concat("final", F.flatten(F.transform(F.slice("after", 1, F.col("k")), lambda a: a["first"])))
+    return rows.select("doc_id", "of", F.col("i").alias("paragraph"), (F.col("i") + F.col("k")).alias("last"), F.explode(F.array(joined)).alias("words"))
+
+
 def scan(docs: DataFrame, model: Classifier) -> DataFrame:
     """Licensed paragraphs: doc_id, paragraph, family, probability, contained."""
+    keys = ["doc_id", "of", "paragraph", "last"]
+    of_text = docs.select("doc_id", "text", F.xxhash64("text").alias("of"))
+    lines = of_text.select("doc_id", "of", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("paragraph", "text")).filter(F.trim("text") != "")
+    lines = lines.select("doc_id", "of", "paragraph", F.col("paragraph").alias("last"), words_of(F.col("text")).alias("words"))
+    found = _scored(lines, model, keys).unionByName(_scored(_runs(docs), model, keys))
+    # The smallest runs: the last start for each end, then the first end for each start.
+    told = F.struct("paragraph", "last", "probability", "contained")
+    found = found.groupBy("doc_id", "of", "family", "last").agg(F.max(told).alias("t")).select("doc_id", "of", "family", "t.*")
+    told = F.struct("last", "probability", "contained")
+    found = found.groupBy("doc_id", "of", "family", "paragraph").agg(F.min(told).alias("t"))
+    found = found.select("doc_id", "of", "family", F.struct("t.last", "paragraph", "t.probability", "t.contained").alias("run"))
+    # Of runs that share more than one line, which hold parts of one notice, the first to end counts.
+    alone = F.col("run.last") == F.col("run.paragraph")
+    runs = found.groupBy("doc_id", "of", "family").agg(
+        F.collect_list(F.when(alone, F.col("run"))).alias("lines"), F.sort_array(F.collect_list(F.when(~alone, F.col("run")))).alias("runs")
+    )
+    apart = F.aggregate(
+        "runs",
+        F.slice("runs", 1, 0),
+        lambda kept, r: F.when((F.size(kept) == 0) | (r["paragraph"] >= F.coalesce(F.get(kept, F.size(kept) - 1)["last"], F.lit(0))), F.concat(kept, F.array(r))).otherwise(kept),
+    )
+    runs = runs.select("doc_id", "family", F.explode(F.concat("lines", apart)).alias("run"))
+    return runs.select("doc_id", "run.paragraph", "family", "run.probability", "run.contained")
+
+
+def _scored(rows: DataFrame, model: Classifier, keys: list[str]) -> DataFrame:
+    """The rows (keys, words) that are notices: keys, family, probability, contained."""
     classes = len(FAMILIES) + 1
     active = np.flatnonzero(np.abs(model.weights).sum(axis=1))
     place = np.zeros(1 << DIM_BITS, int)
     place[active] = np.arange(1, len(active) + 1)
     # Bucket -> row of weights (null for most), found by position in a literal; a weight of 0 is null too.
     row_of = _literal(place, "int")
-    grams = _grams(_paragraphs(docs).withColumn("words", words_of(F.col("text"))))
+    grams = _grams(rows)
     hits = F.filter(F.transform(F.concat("ones", "pairs"), lambda h: F.get(row_of, _bucket(h))), lambda r: r.isNotNull())
     # A paragraph without any such n-gram is unknown by its bias alone. Exploding
     # an array of one keeps later filters from computing what they test once more.
-    weighed = grams.select("doc_id", "paragraph", "pairs", F.explode(F.filter(F.array(hits), lambda h: F.size(h) > 0)).alias("hits"))
+    weighed = grams.select(*keys, "words", "pairs", F.explode(F.filter(F.array(hits), lambda h: F.size(h) > 0)).alias("hits"))
 
     def logit(c: int) -> Column:
         weights = _literal(model.weights[active, c], "double")
@@ -219,7 +331,7 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
         return (total + float(model.bias[c])) / model.temperature
 
     logits = F.array(*map(logit, range(classes)))
-    scored = weighed.select("doc_id", "paragraph", "pairs", F.explode(F.array(logits)).alias("z")).withColumn("top", F.array_max("z"))
+    scored = weighed.select(*keys, "words", "pairs", F.explode(F.array(logits)).alias("z")).withColumn("top", F.array_max("z"))
     scored = scored.withColumns(
         {
             "best": F.array_position("z", F.col("top")).cast("int") - 1,
@@ -230,15 +342,15 @@ def scan(docs: DataFrame, model: Classifier) -> DataFrame:
     def contained(family: str) -> Column:
         shares = []
         for sentence in TEMPLATES[family]:
-            words = F.array(*[F.lit(w) for w in _plain_words(sentence)])
-            own = F.array_distinct(bigrams_of(words))
-            shares.append(F.size(F.array_intersect(own, F.col("pairs"))) / F.size(own))
-        return F.greatest(*shares) if len(shares) > 1 else shares[0]
+            for own, pairs in zip(_own_pairs(sentence), ("pairs", "bare")):
+                shares.append(F.size(F.array_intersect(own, F.col(pairs))) / F.size(own))
+        return F.greatest(*shares)
 
     family = F.array(*map(F.lit, FAMILIES))
     share = F.coalesce(*[F.when(F.col("best") == k, contained(f)) for k, f in enumerate(FAMILIES)])
+    scored = scored.withColumn("bare", bigrams_of(bare_of(F.col("words"))))
     confirmed = scored.withColumn("contained", share).filter(F.col("contained") >= CONTAINED)
-    return confirmed.select("doc_id", "paragraph", F.get(family, F.col("best")).alias("family"), F.round("probability", 6).alias("probability"), "contained")
+    return confirmed.select(*keys, F.get(family, F.col("best")).alias("family"), F.round("probability", 6).alias("probability"), "contained")
 
 
 def _plain_words(sentence: str) -> list[str]:

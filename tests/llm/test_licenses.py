@@ -73,3 +73,49 @@ def test_odd_rows(spark, model):
     want = [(1, (), []), (2, (), []), (None, ("mit",), [0]), (3, ("mit",), [0]), (3, ("mit",), [0]), (4, ("mit",), [2]), (5, ("mit",), [0]), (6, (), [])]
     assert got == sorted(want, key=str)
     assert lc.licenses(docs.limit(0)).count() == 0
+
+
+WRAPPED = {
+    "mit": """# Copyright (c) someone
+#
+# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction""",
+    "bsd": """ * words of a file
+ *
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:""",
+    "gpl": """// This is a file
+
+// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or""",
+}
+
+
+def test_wrapped_notices(spark, model):
+    narrow = "\n".join(lc.TEMPLATES["mit"][2].split())
+    cc = "This work is licensed under a Creative Commons\nAttribution 3.0 Unported License."
+    rows = list(enumerate(WRAPPED.values()))
+    rows += [(10, "prose before\n" + cc), (11, "one\n\n" + narrow), (12, WRAPPED["mit"] + "\nAll rights reserved.\n" + WRAPPED["bsd"])]
+    rows += [(13, "rem Permission is hereby granted, free of charge, to any person\nrem obtaining a copy of this software and associated\nrem documentation files")]
+    # A blank line ends a block; nothing is found across it.
+    rows += [(14, "Permission is hereby granted, free of charge, to any person\n\nobtaining a copy of this software and associated documentation files")]
+    rows += [(15, "Released under the MIT License.\nReleased under the MIT License.\nsome words here")]
+    got = {r.doc_id: [(f.paragraph, f.family) for f in r.findings] for r in lc.licenses(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [got[k] for k in range(3)] == [[(2, "mit")], [(2, "bsd")], [(2, "gpl")]]
+    assert got[10] == [(1, "cc_by")] and got[11] == [(2, "mit")] and got[13] == [(0, "mit")]
+    assert got[12] == [(2, "mit"), (5, "reserved"), (8, "bsd")]
+    assert got[14] == [] and got[15] == [(0, "mit"), (1, "mit")]
+
+
+def test_other_versions(spark, model):
+    rows = [
+        (1, "Licensed under CC BY 3.0."),
+        (2, "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+        (3, "Licensed under CC BY-SA 2.5."),
+        (4, "This work is licensed under the GNU General Public License, version 2."),
+    ]
+    got = {r.doc_id: r.families for r in lc.licenses(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got == {1: ["cc_by"], 2: ["cc_by"], 3: ["cc_by_sa"], 4: ["gpl"]}
