@@ -4,7 +4,8 @@ quality classifier -> exact dedup -> n-gram Jaccard join -> mixing to target
 weights -> BPE encoding. ``run`` writes each stage to the shared folder and reads
 it back as the next one's documents, so a lost executor costs a stage's tasks at
 most. A stage drops the rows it rejects, mixing repeats those it takes more than
-once, and the last stage gives token counts and digests for each row.
+once, and the last stage gives token ids, the text decoded from them, the number of tokens
+and the digests of ids and text for each row.
 
 Nulls, empty texts, repeated rows and empty tables are handled as the operators'
 docstrings say; extra columns of ``documents`` pass through all but the last stage.
@@ -40,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     common.prepare(spark)
-    return bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY), bpe.digests)
+    return bpe.with_digests(bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY)))
 
 
 STAGES = [

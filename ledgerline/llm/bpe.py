@@ -183,6 +183,9 @@ def digests(codec: Codec, ids: list[np.ndarray]) -> dict:
     }
 
 
+#: Documents whose ids and decoded texts a worker holds at once.
+ROWS = 200
+
 #: What a finish makes of the token ids of each document.
 FINISHES = {
     ids_and_text: ("ids array<int>, decoded string", {"ids": pa.list_(pa.int32()), "decoded": pa.string()}),
@@ -206,8 +209,8 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, finish: Callable = ids_
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 made = finish(codec, [codec.encode(t) for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), **made}, schema=arrow)
 
@@ -248,6 +251,22 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, finish: Callable = ids_
     return docs.filter(~long_text).mapInArrow(whole, schema).unionByName(joined)
 
 
+def with_digests(encoded: DataFrame) -> DataFrame:
+    """Add to ``ids`` and ``decoded`` the columns of ``digests``, derived from them."""
+
+    def little_endian(i):
+        told = F.lpad(F.hex(i), 8, "0")
+        return F.concat(*[F.substring(told, k, 2) for k in (7, 5, 3, 1)])
+
+    return encoded.withColumns(
+        {
+            "n_tokens": F.size("ids").cast("long"),
+            "ids_sha256": F.sha2(F.unhex(F.array_join(F.transform("ids", little_endian), "")), 256),
+            "decoded_sha256": F.sha2(F.col("decoded").cast("binary"), 256),
+        }
+    )
+
+
 @query("op8_bpe_roundtrip")
 def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers

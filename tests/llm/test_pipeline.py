@@ -63,3 +63,15 @@ def test_registered(name):
     from __spark_entry__ import queries
 
     assert name in queries()
+
+
+def test_last_stage_keeps_ids_and_text(spark, sf):
+    rows = [(1, "Some words, then others."), (2, None), (3, "long " * 40000), (None, "ü 漢")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    library = Tokenizer.from_file(public_tokenizers.path(cp.VOCABULARY))
+    got = {r.doc_id: r for r in cp.encode(spark, docs, sf).collect()}
+    for k, text in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert list(got[k].ids) == ids and got[k].n_tokens == len(ids) and got[k].decoded == (text or "")
+        assert got[k].ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert got[k].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
