@@ -2,15 +2,21 @@
 
 1. *Seeds.* E-mail addresses, IP addresses, payment cards and phone numbers are
    matched in every whole text by the contract's rules.
-2. *Units.* Seeds and other strings that look like identifiers (eight or more
-   letters and digits in a row, with a digit) are units. The words right before
-   and after a unit on its line are its lexical patterns.
+2. *Units.* Seeds and other strings that look like identifiers are units: runs of
+   tokens (letters, digits, ``_`` and ``-``, with a digit) joined by a space, dot,
+   slash, colon or bracket, however short, and of a run of several also each token
+   with letters or of eight characters. The words right before and after a unit on
+   its line are its lexical patterns; if none stands before it on the line, the last
+   word above does.
 3. *Bootstrapping.* Patterns and units (by their text) form a bipartite graph. In
    each round Spark scores a pattern by the mean trust of its distinct units,
    keeps those that several trusted units support, and trusts a unit by the
    noisy-or of its patterns. Seeds stay trusted. So contexts of seeds find new
-   units, whose other contexts find units that never stood beside a seed's.
-4. Units that end up trusted are spans of kind ``identifier``.
+   units, whose other contexts find units that never stood beside a seed's. Trust
+   only ever rises; the rounds end when a round adds no unit or pattern and raises
+   no trust by more than ``SETTLED``.
+4. Units that end up trusted are spans of kind ``identifier``, wherever they stand;
+   a run and a token of it may both be.
 
 The text is read once; the graph is narrow rows in the shared folder, aggregated
 before each shuffle, and joined as stored tables, so that adaptive execution can
@@ -43,14 +49,21 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-UNIT = re.compile(r"[A-Za-z0-9_-]{8,}+")
+TOKEN = re.compile(r"[A-Za-z0-9_-]++")
+#: What may stand between two tokens of one unit.
+JOINS = frozenset((" ", "\u00a0", ".", "/", ":", "(", ")", ") ", " ("))
+#: Tokens of a longer run are units by themselves from this length on, or if they have letters.
+LONG = 8
 DIGIT = re.compile(r"[0-9]")
 #: Characters of a unit's line that are looked at for its neighbours.
 REACH = 48
 BEFORE = re.compile(r"(\w+)\W*$")
 AFTER = re.compile(r"\W*?(\w+)")
 
+#: Rounds of the plain versions in tests; on the graph rounds go on until nothing changes.
 ROUNDS = 4
+#: A rise of trust below this adds nothing.
+SETTLED = 1e-9
 #: A pattern needs this mean trust (one distrusted unit more counted in) and so many trusted units.
 PATTERN_TRUST, SUPPORT = 0.6, 3
 UNIT_TRUST = 0.6
@@ -99,24 +112,44 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    before = text[max(0, start - REACH) : start].rpartition("\n")[2]
+    above = text[max(0, start - REACH) : start]
+    before = above.rpartition("\n")[2]
     after = text[end : end + REACH].partition("\n")[0]
-    left, right = BEFORE.search(before), AFTER.match(after)
+    left, right = BEFORE.search(before) or BEFORE.search(above), AFTER.match(after)
     shape = lambda w: DIGIT.sub("#", w.lower())
     return [f"{side}:{shape(m[1])}" for side, m in (("before", left), ("after", right)) if m and not m[1].isdigit()]
 
 
+def _runs(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of tokens joined to runs (with the bracket that opens or closes one), then those of their tokens that are units too."""
+    made, at = [], 0
+    while at < len(tokens):
+        to = at + 1
+        while to < len(tokens) and text[tokens[to - 1][1] : tokens[to][0]] in JOINS:
+            to += 1
+        start, end = tokens[at][0], tokens[to - 1][1]
+        opened, closed = text.count("(", start, end), text.count(")", start, end)
+        start -= closed > opened and text[start - 1 : start] == "("
+        end += opened > closed and text[end : end + 1] == ")"
+        made.append((start, end))
+        if to - at > 1:
+            made += [(s, e) for s, e in tokens[at:to] if e - s >= LONG or not text[s:e].isdigit()]
+        at = to
+    return made
+
+
 def units(text: str, seeds: list[tuple[str, int, int]]) -> list[tuple[int, int, bool, int, list[str]]]:
     """(start, end, is a seed, digest of its text, patterns); other units overlap no seed."""
     spans = [(s, e, True) for _, s, e in seeds]
     if DIGIT.search(text):
-        k, by_end = 0, sorted((s, e) for _, s, e in seeds)
-        for m in UNIT.finditer(text):
+        k, by_end, tokens = 0, sorted((s, e) for _, s, e in seeds), []
+        for m in TOKEN.finditer(text):
             start, end = m.span()
             while k < len(by_end) and by_end[k][1] <= start:
                 k += 1
             if (k == len(by_end) or by_end[k][0] >= end) and DIGIT.search(m[0]):
-                spans.append((start, end, False))
+                tokens.append((start, end))
+        spans += [(s, e, False) for s, e in _runs(text, tokens)]
     made = []
     for start, end, seed in spans:
         digest = int.from_bytes(hashlib.blake2b(text[start:end].lower().encode(), digest_size=8).digest(), "big", signed=True)
@@ -146,13 +179,13 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _trusted_units(work: Workings, occurrences: DataFrame, rounds: int) -> DataFrame:
-    """(unit) of those trusted without being seeds, after the rounds on the graph."""
+def _trusted_units(work: Workings, occurrences: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(unit) of those trusted without being seeds, when the rounds on the graph (at most ``rounds`` if given) change nothing more."""
     links = work.stage(
         occurrences.select("unit", "seed", F.explode("patterns").alias("pattern")).groupBy("pattern", "unit").agg(F.max("seed").alias("seed")), "links"
     )
-    trust = None
-    for _ in range(rounds):
+    trust, before, done = None, (0, 0, 0.0), 0
+    while rounds is None or done < rounds:
         scored = links.withColumn("trust", F.col("seed").cast("double"))
         if trust is not None:
             scored = links.join(trust, "unit", "left").withColumn(
@@ -168,10 +201,16 @@ def _trusted_units(work: Workings, occurrences: DataFrame, rounds: int) -> DataF
         doubt = F.exp(F.sum(F.log(1 - F.least("worth", F.lit(0.999)))))
         after = links.filter(~F.col("seed")).join(patterns, "pattern").groupBy("unit").agg((1 - doubt).alias("trust"))
         trust = work.stage(after.filter(F.col("trust") >= UNIT_TRUST), "trust")
+        # Units, patterns and the sum of trust of this round: all three can only rise.
+        reached = trust.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("trust"), F.lit(0.0)).alias("total")).first()
+        now, done = (reached["n"], patterns.count(), reached["total"]), done + 1
+        if now[:2] == before[:2] and now[2] - before[2] <= SETTLED * max(1, now[0]):
+            break
+        before = now
     return trust.select("unit")
 
 
-def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def personal_data(docs: DataFrame, rounds: int | None = None) -> DataFrame:
     """Per document: doc_id, base and found (arrays of kind, start, end)."""
     work = Workings("pii")
     scanned = work.stage(texts(docs).mapInArrow(_scan, _SCAN_SCHEMA), "scan")

@@ -125,3 +125,40 @@ def test_odd_rows_equal_dictionaries(spark, tmp_path):
     docs = spark.createDataFrame(corpus(), "doc_id long, text string")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted((tuple(r) for r in pii.op9_pii(spark, str(tmp_path)).collect()), key=str) == brute_force(corpus())
+
+
+def candidates(text):
+    return {text[s:e] for s, e, seed, _, _ in pii.units(text, pii.base_spans(text)) if not seed}
+
+
+def test_spaced_and_short_identifiers_are_candidates():
+    for unit in ("DE89 3704 0044 0532 0130 00", "123 45 6789", "EMP1234", "(136) 555-7479", "12.345.678/0001-95", "A1(12)9"):
+        assert unit in candidates(f"label {unit} follows"), unit
+    assert candidates("EMP1234 10.1.2.3 AB12") == {"EMP1234", "AB12"}
+    assert "EMP1234" in candidates("given EMP1234 3 times")
+    assert candidates("no digits - at (all)") == set()
+    (unit,) = pii.units("iban:\n  DE89 3704 0044", [])[:1]
+    assert unit[4] == ["before:iban"]
+
+
+def chained(depth):
+    """Units that are ``depth`` contexts away from the seeds, some spaced and some short."""
+    rows = [f"c user{k}@mail.example.com" for k in range(30)]
+    for d in range(depth):
+        rows += [f"c{'x' * (d + 1)} seed{d}a{k}@mail.example.com" for k in range(14)]
+        for k in range(6):
+            unit = f"{d + 10} {k + 20} 77" if d % 2 else f"E{d}{k}"
+            rows += [f"c{'x' * d} {unit}", f"c{'x' * (d + 1)}\n{unit}"]
+    return [(n, t) for n, t in enumerate(rows)]
+
+
+def test_rounds_go_on_until_no_unit_is_added(spark):
+    rows = chained(9)
+    want = trust(rows, rounds=40)
+    assert len(want) > len(trust(rows))
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by_id = dict(rows)
+    got = {by_id[r.doc_id][s.start : s.end] for r in found for s in r.found}
+    told = {int.from_bytes(hashlib.blake2b(t.lower().encode(), digest_size=8).digest(), "big", signed=True) for t in got}
+    assert told == want
+    assert {"E00", "E85", "17 25 77"} <= got
