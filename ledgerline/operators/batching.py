@@ -6,8 +6,9 @@ task, the work is split by segment:
 
 1. per segment, for each row that could be the segment's first cut, where the
    chain of cuts from there ends (row pointers, doubled until they settle);
-2. per client, a pass over those few candidate rows that carries the open
-   batch from segment to segment in constant memory;
+2. these maps of cuts fold into maps of many segments, in a tree (``fold``), and
+   carry the open batch over it: a map has a row for each row that may be the
+   first cut, so at most one batch's worth, however many segments it spans;
 3. per segment, the actual cuts for the carried state.
 
 Only order and sizes go through Python; full rows meet the cuts in a window.
@@ -15,8 +16,6 @@ Only order and sizes go through Python; full rows meet the cuts in a window.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +27,9 @@ from ledgerline.functions.fields import (
     json_text_bytes,
     record_json_bytes,
 )
+from ledgerline.operators.fold import FAN, states_before
 from ledgerline.operators.streams import SEGMENT, with_segment
+from ledgerline.session import stage
 
 # Default batch limits.
 BATCH_SIZE = 50_000
@@ -37,21 +38,19 @@ BATCH_BYTES = 15 * 1024 * 1024
 BATCH_SEGMENT_WIDTH = 1 << 22
 
 
-class SegmentCuts:
-    """Next-fit over one segment's rows, for any state carried into it.
+class FirstCuts:
+    """Where the first cut falls, for any state carried into a stretch of rows.
 
     A state is ``(used, real)``: bytes of the open batch including its
-    envelope, and its number of cursor-bearing rows.
+    envelope, and its number of cursor-bearing rows. ``reach`` is what a row
+    brings the stretch to, with its cursor as the batch's last.
     """
 
-    def __init__(self, size, next_size, open_size, real, max_rows, max_bytes):
-        self.n = len(size)
+    def __init__(self, reach, real, max_rows, max_bytes):
+        self.n = len(reach)
         self.max_rows, self.max_bytes = max_rows, max_bytes
-        self.open_size = open_size
-        self.size_before = np.concatenate(([0], np.cumsum(size + 1)))
-        self.real_before = np.concatenate(([0], np.cumsum(real)))
-        self.reach = self.size_before[1:] + next_size
-        self.peak = np.maximum.accumulate(self.reach) if self.n else self.reach
+        self.reach = reach
+        self.peak = np.maximum.accumulate(reach) if self.n else reach
         self.real_rows = np.flatnonzero(real)
 
     def _first_over(self, limits, floors):
@@ -73,13 +72,23 @@ class SegmentCuts:
         by_count = self._row_of_real(np.maximum(start_reals + self.max_rows - reals_before, 0))
         return np.minimum(by_bytes, by_count)
 
+    def first_cuts(self, used, real):
+        """The first cut for each of many states; ``n`` where there is none."""
+        floors = np.where(real > 0, 0, int(self._row_of_real(np.array([0]))[0]) + 1)
+        return self._break(self.max_bytes - used, real, floors, np.zeros_like(real))
+
     def first_cut(self, used: int, real: int) -> int:
-        floor = 0 if real > 0 else int(self._row_of_real(np.array([0]))[0]) + 1
-        return int(
-            self._break(
-                np.array([self.max_bytes - used]), np.array([real]), np.array([floor]), np.array([0])
-            )[0]
-        )
+        return int(self.first_cuts(np.array([used], np.int64), np.array([real], np.int64))[0])
+
+
+class SegmentCuts(FirstCuts):
+    """Next-fit over one segment's rows, for any state carried into it."""
+
+    def __init__(self, size, next_size, open_size, real, max_rows, max_bytes):
+        self.open_size = open_size
+        self.size_before = np.concatenate(([0], np.cumsum(size + 1)))
+        self.real_before = np.concatenate(([0], np.cumsum(real)))
+        super().__init__(self.size_before[1:] + next_size, real, max_rows, max_bytes)
 
     def next_cuts(self):
         rows = np.arange(self.n)
@@ -139,7 +148,6 @@ def _candidates(max_rows: int, max_bytes: int):
                 "n_rows": cuts.n,
                 "reach": cuts.reach[take],
                 "real": (cuts.real_before[1:] - cuts.real_before[:-1])[take],
-                "open_size": cuts.open_size[take],
                 "hops": hops[take],
                 "used_after": used,
                 "real_after": real,
@@ -153,70 +161,60 @@ def _candidates(max_rows: int, max_bytes: int):
 
 CANDIDATE = (
     "client string, segment bigint, row bigint, n_rows bigint, reach bigint, real bigint, "
-    "open_size bigint, hops bigint, used_after bigint, real_after bigint, "
-    "size_total bigint, real_total bigint"
+    "hops bigint, used_after bigint, real_after bigint, size_total bigint, real_total bigint"
 )
 
 
-def _carry(max_rows: int, max_bytes: int):
-    """Fold the candidates of each client, in segment order, into carried states."""
+def fold_cuts(tables: list[pd.DataFrame], max_rows: int, max_bytes: int) -> pd.DataFrame:
+    """The map of consecutive segments: their candidates, as one stretch of rows."""
+    whole = tables[0]
+    for after in tables[1:]:
+        whole = _joined(whole, after, max_rows, max_bytes)
+    return whole
+
+
+def _joined(a: pd.DataFrame, b: pd.DataFrame, max_rows: int, max_bytes: int) -> pd.DataFrame:
+    used, real = a["used_after"].to_numpy(), a["real_after"].to_numpy()
+    cut = FirstCuts(b["reach"].to_numpy(), b["real"].to_numpy(), max_rows, max_bytes).first_cuts(used, real)
+    # Without a cut in ``b`` its rows join the open batch.
+    inside, at = cut < len(b), np.minimum(cut, len(b) - 1)
+    size_b, real_b = int(b["size_total"].iloc[0]), int(b["real_total"].iloc[0])
+    rows = a.assign(
+        hops=a["hops"].to_numpy() + np.where(inside, 1 + b["hops"].to_numpy()[at], 0),
+        used_after=np.where(inside, b["used_after"].to_numpy()[at], used + size_b),
+        real_after=np.where(inside, b["real_after"].to_numpy()[at], real + real_b),
+    )
+    size_a, real_a, n_a = int(a["size_total"].iloc[0]), int(a["real_total"].iloc[0]), int(a["n_rows"].iloc[0])
+    if len(a) == n_a:
+        # Some state passes ``a`` without a cut: the first one may be in ``b``.
+        rows = pd.concat([rows, b.assign(reach=b["reach"] + size_a)], ignore_index=True)
+        last = FirstCuts(rows["reach"].to_numpy(), rows["real"].to_numpy(), max_rows, max_bytes).first_cut(0, 0)
+        rows = rows.iloc[: last + 1]
+    return rows.assign(
+        row=np.arange(len(rows)), n_rows=n_a + int(b["n_rows"].iloc[0]), size_total=size_a + size_b, real_total=real_a + real_b
+    )
+
 
-    def step(state, rows: pd.DataFrame):
-        client, used, real, number = state
-        head = rows.iloc[0]
-        out = (client, int(head["segment"]), used, real, number)
-        reach, reals = rows["reach"].to_numpy(), rows["real"].to_numpy()
+def _step(max_rows: int, max_bytes: int):
+    def step(state, table: pd.DataFrame):
+        used, real, number = state if state is not None else (None, 0, 0)
         if used is None:
-            cut, number = 0, number - 1
-        else:
-            before = real + np.concatenate(([0], np.cumsum(reals)[:-1]))
-            over = (before > 0) & (used + reach > max_bytes)
-            if max_rows > 0:
-                over |= (reals == 1) & (before >= max_rows)
-            hit = np.flatnonzero(over)
-            cut = int(hit[0]) if len(hit) else None
-        if cut is None:
-            used, real = used + int(head["size_total"]), real + int(head["real_total"])
+            # The first row opens the batch of that number.
+            cut, number = 0, int(number) - 1
         else:
-            at = rows.iloc[cut]
-            used, real = int(at["used_after"]), int(at["real_after"])
-            number += 1 + int(at["hops"])
-        return out, (client, used, real, number)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = (None, None, 0, 0)
-        held: list[pd.DataFrame] = []
-        key = None
-
-        def close():
-            nonlocal state
-            if state[0] != key[0]:
-                state = (key[0], None, 0, 0)
-            out, state = step(state, pd.concat(held, ignore_index=True) if len(held) > 1 else held[0])
-            return out
-
-        for frame in frames:
-            done = []
-            for name, rows in frame.groupby(["client", "segment"], sort=False):
-                if key is not None and name != key:
-                    done.append(close())
-                    held = []
-                key = name
-                held.append(rows)
-            if done:
-                yield _states(done)
-        if held:
-            yield _states([close()])
-
-    return run
-
+            used, real = int(used), int(real)
+            cut = FirstCuts(table["reach"].to_numpy(), table["real"].to_numpy(), max_rows, max_bytes).first_cut(used, real)
+        head = table.iloc[0]
+        if cut == len(table):
+            return used + int(head["size_total"]), real + int(head["real_total"]), int(number)
+        at = table.iloc[cut]
+        return int(at["used_after"]), int(at["real_after"]), int(number) + 1 + int(at["hops"])
 
-def _states(rows) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["client", "segment", "used", "real", "number"])
-    return frame.astype({"used": "Int64"})
+    return step
 
 
-STATE = "client string, segment bigint, used bigint, real bigint, number bigint"
+#: The open batch: its bytes (null: none is open yet), its rows with a cursor, its number.
+STATE = "used bigint, real bigint, number bigint"
 
 
 def _starts(max_rows: int, max_bytes: int):
@@ -225,7 +223,7 @@ def _starts(max_rows: int, max_bytes: int):
     def run(key: tuple, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
         rows, cuts = _cuts_of(rows, max_rows, max_bytes)
         state = states.iloc[0]
-        number = int(state["number"])
+        number = 0 if pd.isna(state["number"]) else int(state["number"])
         if pd.isna(state["used"]):
             cut, opened = 0, []
             number -= 1
@@ -272,18 +270,24 @@ def batch_split(
     cursor: str = "cursor",
     size: Column | None = None,
     width: int = BATCH_SEGMENT_WIDTH,
+    start: DataFrame | None = None,
+    fan: int = FAN,
+    key: str | None = None,
 ) -> DataFrame:
     """Add ``batch_no``, counted from 0 per client.
 
     A batch holds at most ``batch_size`` rows with a cursor and ``max_bytes``
     of JSON. Rows without a cursor ride along and never fill a batch alone: a
     trailing batch of only such rows is still pending (``batch_envelopes``
-    leaves it out). A single row over the limit fails the query.
+    leaves it out). A single row over the limit fails the query. ``start``
+    (client and ``STATE``) continues batches that are open already. With ``key``,
+    streams are told apart by that column rather than by client.
     """
+    key = key or client
     sizes = wire_sizes(client, position, cursor, size)
     narrow = with_segment(
         df.select(
-            F.col(client).alias("client"), F.col(order).alias("order"), *[c.alias(n) for n, c in sizes.items()]
+            F.col(key).alias("client"), F.col(order).alias("order"), *[c.alias(n) for n, c in sizes.items()]
         ),
         "order",
         width,
@@ -302,25 +306,23 @@ def batch_split(
         ).otherwise(F.col("size")),
     )
     grouped = narrow.groupBy("client", "segment")
-    states = (
-        grouped.applyInPandas(_candidates(batch_size, max_bytes), CANDIDATE)
-        .repartition("client")
-        .sortWithinPartitions("client", "segment", "row")
-        .mapInPandas(_carry(batch_size, max_bytes), STATE)
+    maps = stage(grouped.applyInPandas(_candidates(batch_size, max_bytes), CANDIDATE), "cuts")
+    states = states_before(
+        maps, lambda tables: fold_cuts(tables, batch_size, max_bytes), _step(batch_size, max_bytes), start, STATE, ["row"], "cuts", fan
     )
     starts = grouped.cogroup(states.groupBy("client", "segment")).applyInPandas(
         _starts(batch_size, max_bytes), START
     )
     # Rows and starts meet in one window: the last start at or before a row.
     marks = starts.select(
-        F.col("client").alias(client),
+        F.col("client").alias(key),
         F.col("segment").alias(SEGMENT),
         F.col("order").alias(order),
         F.col("batch_no").alias("batch_no"),
         F.lit(False).alias("_is_row"),
     )
     rows = with_segment(df, order, width).withColumn("_is_row", F.lit(True))
-    window = Window.partitionBy(client, SEGMENT).orderBy(F.col(order).asc_nulls_first(), "_is_row")
+    window = Window.partitionBy(key, SEGMENT).orderBy(F.col(order).asc_nulls_first(), "_is_row")
     together = rows.unionByName(marks, allowMissingColumns=True)
     return (
         together.withColumn("batch_no", F.last("batch_no", ignorenulls=True).over(window))

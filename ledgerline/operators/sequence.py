@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.regex import compile_pattern
@@ -53,15 +53,31 @@ def multiline_merge(
         gap = F.col(time) - F.col("_before") >= F.lit(timeout_us)
         lines = lines.withColumn("_start", F.col("_start") | F.coalesce(gap, F.lit(False))).drop("_before")
 
+    placed = place_lines(lines, client, order, max_messages, width)
+    return join_lines(placed, df.columns, client, order, message, cursor).select(*df.columns)
+
+
+def place_lines(
+    lines: DataFrame, client: str, order: str, max_messages: int, width: int = SEGMENT_WIDTH, counted: str | None = None
+) -> DataFrame:
+    """Add the entry of each line: ``_island`` and ``_part``, and whether it is its client's ``_last``.
+
+    ``_start`` says where an island begins. A row stands for one line, or for
+    ``counted`` lines: several for an entry merged before, none for a mark that
+    only ends the entry before it. Marks get that entry's part as ``_ended``
+    (null if it has no line); its island is the one before theirs.
+    """
     window = inside(client, order)
-    lines = with_segment(lines, order, width).withColumn("_row", F.row_number().over(window))
-    # Row of the last start at or before this one, and starts so far.
-    started = F.when(F.col("_start"), F.col("_row"))
+    n = F.lit(1) if counted is None else F.col(counted)
+    row = F.row_number().over(window) if counted is None else F.sum(counted).over(so_far(window))
+    lines = with_segment(lines, order, width).withColumn("_row", row)
+    # Number of the first line of the last start at or before this row, and starts so far.
+    started = F.when(F.col("_start"), F.col("_row") - n + 1)
 
     summary = (
         lines.groupBy(client, SEGMENT)
         .agg(
-            F.count(F.lit(1)).alias("_rows"),
+            F.sum(n).alias("_rows"),
             F.max(started).alias("_last_start"),
             F.count_if("_start").alias("_starts"),
         )
@@ -73,6 +89,8 @@ def multiline_merge(
     summary = summary.withColumn("_total", total).withColumn(
         "_start_at", F.col("_total") - F.col("_rows") + F.col("_last_start") - 1
     )
+    everything = chain.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lines_at_end = F.sum("_rows").over(everything) - F.coalesce(F.last("_start_at", ignorenulls=True).over(everything), F.lit(0))
     carried = summary.select(
         client,
         SEGMENT,
@@ -83,38 +101,46 @@ def multiline_merge(
             - F.coalesce(F.last("_start_at", ignorenulls=True).over(before(chain)), F.lit(0)),
             F.lit(0),
         ).alias("_open"),
+        F.sum("_starts").over(everything).alias("_end_island"),
+        F.floor((lines_at_end - 1) / F.lit(max_messages)).cast("bigint").alias("_end_part"),
     )
 
-    lines = lines.withColumns(
-        {
-            "_since": F.max(started).over(so_far(window)),
-            "_island": F.sum(F.col("_start").cast("bigint")).over(so_far(window)),
-        }
-    )
-    lines = attach(lines, carried, client)
+    since = {
+        "_since": F.max(started).over(so_far(window)),
+        "_island": F.sum(F.col("_start").cast("bigint")).over(so_far(window)),
+    }
+    if counted is not None:
+        since["_since_before"] = F.max(started).over(before(window))
+    lines = attach(lines.withColumns(since), carried, client)
     offset = F.when(F.col("_since").isNotNull(), F.col("_row") - F.col("_since")).otherwise(
         F.col("_open") + F.col("_row") - 1
     )
-    lines = lines.withColumns(
-        {
-            "_island": F.col("_islands") + F.col("_island"),
-            "_part": F.floor(offset / F.lit(max_messages)).cast("bigint"),
-        }
-    )
+    places = {
+        "_island": F.col("_islands") + F.col("_island"),
+        "_part": F.floor(offset / F.lit(max_messages)).cast("bigint"),
+    }
+    if counted is not None:
+        held = F.when(F.col("_since_before").isNotNull(), F.col("_row") - F.col("_since_before") + 1).otherwise(
+            F.col("_open") + F.col("_row")
+        )
+        places["_ended"] = F.when((n == 0) & (held > 0), F.floor((held - 1) / F.lit(max_messages)).cast("bigint"))
+    lines = lines.withColumns(places)
+    return lines.withColumn("_last", (F.col("_island") == F.col("_end_island")) & (F.col("_part") == F.col("_end_part")))
+
 
-    rest = [c for c in df.columns if c not in (client, message, cursor)]
-    merged = lines.groupBy(client, "_island", "_part").agg(
+def join_lines(
+    placed: DataFrame, columns: list[str], client: str, order: str, message: str, cursor: str | None, extra: list[Column] | None = None
+) -> DataFrame:
+    """One row per entry: ``columns``, ``_island``, ``_part`` and the ``extra`` aggregates."""
+    rest = [c for c in columns if c not in (client, message, cursor)]
+    merged = placed.groupBy(client, "_island", "_part").agg(
         F.min_by(F.struct(*rest), order).alias("_head"),
         F.expr(f"listagg(coalesce(`{message}`, ''), '\\n') within group (order by `{order}`)").alias(message),
         *([F.max_by(cursor, order).alias(cursor)] if cursor else []),
+        *(extra or []),
     )
-    columns = []
-    for name in df.columns:
-        if name in (client, cursor, message):
-            columns.append(F.col(name))
-        else:
-            columns.append(F.col("_head")[name].alias(name))
-    return merged.select(*columns)
+    shown = [F.col(name) if name in (client, cursor, message) else F.col("_head")[name].alias(name) for name in columns]
+    return merged.select(*shown, *[c for c in merged.columns if c not in (client, cursor, message, "_head")])
 
 
 def ack_positions(
@@ -129,7 +155,8 @@ def ack_positions(
 
     Run it after the filters: dropped entries then do not advance positions.
     Rows without a cursor take the current position and do not advance it.
-    ``start`` is one position for all, or a positions frame.
+    ``start`` is one position for all, or a positions frame (with ``next_seqno``, of
+    the next numbers too).
     """
     return stamp_entries(df, start, 0, client, order, cursor, "_number", width).drop("_number")
 
@@ -178,11 +205,13 @@ def stamp_entries(
     carried = summary.select(client, SEGMENT, offset.alias("_offset"), held.alias("_held"))
     if isinstance(start, DataFrame):
         # One row per segment meets the positions, not every log row.
-        known = start.select(client, F.col("exp_pos").alias("_known"))
+        numbers = F.col("next_seqno") if "next_seqno" in start.columns else F.lit(None).cast("bigint")
+        known = start.select(client, F.col("exp_pos").alias("_known"), numbers.alias("_next"))
         carried = carried.join(known, client, "left")
         carried = carried.withColumn("_held", F.coalesce("_held", "_known", F.lit(""))).drop("_known")
     else:
         carried = carried.withColumn("_held", F.coalesce("_held", F.lit(start)))
+    else_first = base if isinstance(base, Column) else F.lit(base).cast("bigint")
     window = inside(client, order)
     stamped = parts.withColumns(
         {
@@ -191,7 +220,7 @@ def stamp_entries(
         }
     )
     stamped = attach(stamped, carried, client)
-    first = base if isinstance(base, Column) else F.lit(base).cast("bigint")
+    first = F.coalesce("_next", else_first) if "_next" in carried.columns else else_first
     kept = [c for c in df.columns if c not in (to, "position")]
     return stamped.select(
         *kept,

@@ -93,3 +93,17 @@ def previous_in_stream(
     out = attach(parts.withColumn("_local", local), carried, client)
     found = F.coalesce(F.col("_local"), F.col("_carried"))
     return out.select(*df.columns, *[found[new].alias(new) for new in values])
+
+
+def running_count(
+    df: DataFrame, flag: Column, to: str, client: str = "client_id", order: str = "seqno", width: int = SEGMENT_WIDTH
+) -> DataFrame:
+    """Add how many rows of the client's stream, up to and with this one, have the flag."""
+    parts = with_segment(df, order, width)
+    counts = parts.groupBy(client, SEGMENT).agg(F.count_if(flag).alias("_flags"))
+    carried = counts.select(
+        client, SEGMENT, F.coalesce(F.sum("_flags").over(before(along(client))), F.lit(0)).alias("_carried")
+    )
+    local = F.count_if(flag).over(so_far(inside(client, order)))
+    out = attach(parts.withColumn("_local", local), carried, client)
+    return out.select(*df.columns, (F.col("_local") + F.col("_carried")).alias(to))

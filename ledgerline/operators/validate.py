@@ -2,19 +2,19 @@
 
 Whether a batch is accepted depends on the last accepted one, so the chain is
 sequential. It is still computed in segments: a segment's effect on the state
-is a small map (state in -> state out), segments are composed per client, and
-each segment then judges its own batches from the state carried into it. Only
+is a small map (state in -> state out), maps fold into those of many segments in
+a tree (``fold``), and each segment then judges its own batches from the state
+carried into it. Only
 envelopes take part; records never do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.fold import FAN, states_before
 from ledgerline.operators.streams import SEGMENT, with_segment
 from ledgerline.session import stage
 
@@ -90,38 +90,49 @@ def _effects(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             effect[current] = out
     pairs = list(effect.items()) + ([(None, constant)] if constant is not None else [])
     out = pd.DataFrame(pairs, columns=["state_in", "state_out"], dtype=object)
-    return out.assign(client_id=key[0], segment=key[1])[["client_id", "segment", "state_in", "state_out"]]
+    return out.assign(client=key[0], segment=key[1])[["client", "segment", "state_in", "state_out"]]
+
 
+EFFECT = "client string, segment bigint, state_in string, state_out string"
 
-EFFECT = "client_id string, segment bigint, state_in string, state_out string"
 
+def _lookup(table: pd.DataFrame) -> tuple[dict, dict]:
+    """A map as a dictionary, and the state that all others lead to, if any (under None).
 
-def _compose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Carry each client's state over its segments; rows come in that order."""
-    client, state, segment = None, None, None
-    effect: dict = {}
+    A row without a state out says only that the segment is there.
+    """
+    effect, constant = {}, {}
+    for before, after in zip(table["state_in"], table["state_out"]):
+        if not pd.isna(after):
+            (constant if pd.isna(before) else effect)[None if pd.isna(before) else before] = after
+    return effect, constant
+
+
+def fold_effects(tables: list[pd.DataFrame]) -> pd.DataFrame:
+    """The map of consecutive segments. A state that a segment doesn't know passes it."""
+    whole, rest = _lookup(tables[0])
+    for table in tables[1:]:
+        effect, constant = _lookup(table)
+        after = lambda state: effect.get(state, constant.get(None, state))  # noqa: B023, E731
+        if not rest:
+            # States unknown so far reach this segment unchanged.
+            whole = {**{k: after(k) for k in effect}, **{k: after(v) for k, v in whole.items()}}
+            rest = constant
+        else:
+            whole = {k: after(v) for k, v in whole.items()}
+            rest = {None: after(rest[None])}
+    pairs = [*whole.items(), *rest.items()] or [(None, None)]
+    return pd.DataFrame(pairs, columns=["state_in", "state_out"], dtype=object)
 
-    def leave():
-        return effect.get(state, effect.get(None, state)) if state is not None else effect.get(None)
 
-    for frame in frames:
-        done = []
-        for c, s, stored, state_in, state_out in zip(
-            frame["client_id"], frame["segment"], frame["stored"], frame["state_in"], frame["state_out"]
-        ):
-            if c != client:
-                client, segment, effect, state = c, None, {}, (None if pd.isna(stored) else stored)
-            if s != segment:
-                if segment is not None:
-                    state = leave()
-                segment, effect = s, {}
-                done.append((client, s, state))
-            if not pd.isna(state_out):
-                effect[None if pd.isna(state_in) else state_in] = state_out
-        yield pd.DataFrame(done, columns=["client_id", "segment", "state"], dtype=object)
+def _pass(state: tuple | None, table: pd.DataFrame) -> tuple:
+    """A client's state after a segment."""
+    now = None if state is None else state[0]
+    effect, constant = _lookup(table)
+    return (constant.get(None) if now is None else effect.get(now, constant.get(None, now)),)
 
 
-STATE = "client_id string, segment bigint, state string"
+STATE = "state string"
 
 
 def _judge(key: tuple, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
@@ -158,7 +169,7 @@ JUDGED = (
 
 
 def position_validate(
-    envelopes: DataFrame, positions: DataFrame | None = None, width: int = CHAIN_WIDTH
+    envelopes: DataFrame, positions: DataFrame | None = None, width: int = CHAIN_WIDTH, fan: int = FAN
 ) -> DataFrame:
     """A verdict per batch: status, code, positions and message.
 
@@ -199,32 +210,23 @@ def position_validate(
         .applyInPandas(_effects, EFFECT)
     )
     effects = stage(effects, "effects")
-    stored = None if positions is None else positions.select("client_id", F.col("exp_pos").alias("stored"))
+    stored = None if positions is None else positions.select(F.col("client_id").alias("client"), F.col("exp_pos").alias("state"))
     # Only states that some segment leaves, or that are stored, can enter one.
-    reachable = effects.select("client_id", F.col("state_out").alias("state_in"))
+    reachable = effects.select("client", F.col("state_out").alias("state_in"))
     if stored is not None:
-        reachable = reachable.unionByName(stored.select("client_id", F.col("stored").alias("state_in")))
+        reachable = reachable.unionByName(stored.select("client", F.col("state").alias("state_in")))
     useful = effects.filter(F.col("state_in").isNotNull()).join(
-        reachable.distinct(), ["client_id", "state_in"], "left_semi"
+        reachable.distinct(), ["client", "state_in"], "left_semi"
     )
     constants = effects.filter(F.col("state_in").isNull())
-    every = chained.select("client_id", "segment").distinct().select(
-        "client_id", "segment", null_text.alias("state_in"), null_text.alias("state_out")
-    )
-    steps = useful.select(*every.columns).unionByName(constants).unionByName(every)
-    steps = (
-        steps.withColumn("stored", null_text)
-        if stored is None
-        else steps.join(stored, "client_id", "left")
-    )
-    states = (
-        steps.repartition("client_id")
-        .sortWithinPartitions("client_id", "segment")
-        .mapInPandas(_compose, STATE)
+    every = chained.select(F.col("client_id").alias("client"), "segment").distinct().select(
+        "client", "segment", null_text.alias("state_in"), null_text.alias("state_out")
     )
+    maps = stage(useful.select(*every.columns).unionByName(constants).unionByName(every), "maps")
+    states = states_before(maps, fold_effects, _pass, stored, STATE, [], "maps", fan)
     judged = (
         chained.groupBy("client_id", "segment")
-        .cogroup(states.groupBy("client_id", "segment"))
+        .cogroup(states.withColumnRenamed("client", "client_id").groupBy("client_id", "segment"))
         .applyInPandas(_judge, JUDGED)
     )
     return judged.unionByName(refused).select(

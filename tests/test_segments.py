@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,6 +120,80 @@ def test_batch_split(spark, width, limits):
         assert {o: got[client, o] for o in want} == want
 
 
+def hot_batches(spark, n=1200):
+    """One client with 90 % of the rows, in segments of a few rows."""
+    rng = random.Random(5)
+    data = [("hot" if i % 10 else "cold", i, f"c{i - 1}", f"c{i}" if rng.random() < 0.9 else None, rng.randint(10, 90)) for i in range(n)]
+    return spark.createDataFrame(data, "client_id string, seqno long, position string, cursor string, size long")
+
+
+@pytest.mark.parametrize("limits", [(40, 1 << 30), (0, 2500)])
+def test_folded_cuts_bound_a_task(spark, limits, monkeypatch):
+    df = hot_batches(spark)
+    want = rows(batching.batch_split(df, *limits, size=F.col("size"), fan=1 << 20))
+    seen = spark.sparkContext.accumulator(0)
+    joined = batching.fold_cuts
+
+    def watched(tables, *args):
+        whole = joined(tables, *args)
+        # 400 segments of three rows: a folded map stays one batch's worth, its inputs FAN of those.
+        assert len(tables) <= 4 and len(whole) <= 60
+        seen.add(1)
+        return whole
+
+    monkeypatch.setattr(batching, "fold_cuts", watched)
+    assert rows(batching.batch_split(df, *limits, size=F.col("size"), width=3, fan=4)) == want
+    assert seen.value > 100
+
+
+def test_open_batches_go_on(spark):
+    df = hot_batches(spark, 400)
+    whole = {(r.client_id, r.seqno): r.batch_no for r in batching.batch_split(df, 30, 1500, size=F.col("size")).collect()}
+    cut = 217
+    states, sizes = [], {r.seqno: r for r in df.collect()}
+    for client in ("hot", "cold"):
+        number = max(n for (c, s), n in whole.items() if c == client and s < cut)
+        open_rows = [sizes[s] for (c, s), n in sorted(whole.items()) if c == client and s < cut and n == number]
+        opening = 13 + 14 + 17 + 11 + 1 + len(client) + 2 + 20 + len(open_rows[0].position) + 2
+        used = opening + sum(r["size"] + 1 for r in open_rows)
+        states.append((client, used, sum(r.cursor is not None for r in open_rows), number))
+    start = spark.createDataFrame(states, f"client string, {batching.STATE}")
+    rest = batching.batch_split(df.filter(F.col("seqno") >= cut), 30, 1500, size=F.col("size"), width=16, start=start)
+    got = {(r.client_id, r.seqno): r.batch_no for r in rest.collect()}
+    assert got == {k: n for k, n in whole.items() if k[1] >= cut}
+
+
+def test_folded_positions(spark):
+    rng, names = random.Random(9), [f"p{i}" for i in range(5)]
+    batches = [(i, rng.random() < 0.02, rng.choice(names), rng.choice(names), None) for i in range(300)]
+    df = spark.createDataFrame(
+        [("a", *b) for b in batches],
+        "client_id string, arrival long, reset boolean, current_position string, next_position string, record_error string",
+    )
+    want = {a: s for a, s, _ in judge(batches, "p0")}
+    stored = spark.createDataFrame([("a", "p0")], "client_id string, exp_pos string")
+    got = validate.position_validate(df, stored, width=2, fan=4).collect()
+    assert {r.arrival: r.status for r in got} == want
+
+
+def test_folded_map_is_the_maps_in_turn():
+    rng, names = random.Random(1), ["a", "b", "c", "d"]
+    for _ in range(200):
+        tables = []
+        for _ in range(rng.randint(1, 5)):
+            pairs = {rng.choice(names): rng.choice(names) for _ in range(rng.randint(0, 3))}
+            if rng.random() < 0.3:
+                pairs[None] = rng.choice(names)
+            pairs = list(pairs.items()) or [(None, None)]
+            tables.append(pd.DataFrame(pairs, columns=["state_in", "state_out"], dtype=object))
+        whole = validate.fold_effects(tables)
+        for state in [None, *((n,) for n in names)]:
+            now = state
+            for table in tables:
+                now = validate._pass(now, table)
+            assert validate._pass(state, whole) == now
+
+
 def test_oversized_record_fails(spark):
     df = spark.createDataFrame([("a", 1, "p", "c", 500)], "client_id string, seqno long, position string, cursor string, size long")
     with pytest.raises(Exception, match="exceeds maximum batch request size"):
