@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.batching import batch_envelopes
 from ledgerline.operators.filters import nonempty_message
@@ -21,19 +22,19 @@ from ledgerline.session import scratch_path, stage
 from ledgerline.sinks.tables import LogTable, PositionTable
 from ledgerline.sources.batches import scan_batches
 from ledgerline.streaming.ingest import ingest_stream
-from ledgerline.streaming.stateful import batch_stream, drain_batches, drain_entries, multiline_stream
+from ledgerline.streaming.micro import CarriedFolder, Names, fill_batches_stream, merge_lines_stream
 
 
 DELIVERIES = 4
 
 
-def _run(spark, df: DataFrame, build: Callable[[DataFrame], DataFrame], label: str) -> tuple[DataFrame, str]:
-    """Run the stream that ``build`` makes over the rows of ``df``; its table and its checkpoint.
+def _run(spark, df: DataFrame, start: Callable[[DataFrame, str], StreamingQuery], label: str) -> CarriedFolder:
+    """Run a stream over the rows of ``df``; its folder.
 
     Rows come as a client sends them: in deliveries that follow each other in
-    stream order, each a trigger (or more) that starts from the state left before.
+    stream order, each a trigger (or more) that goes on from what was carried.
     """
-    source, sink, checkpoint = (scratch_path(spark, f"{label}-{part}") for part in ("in", "out", "state"))
+    source, path = (scratch_path(spark, f"{label}-{part}") for part in ("in", "stream"))
     df = stage(df, f"{label}-rows")
     cuts = df.approxQuantile("seqno", [k / DELIVERIES for k in range(1, DELIVERIES)], 0.01)
     bounds = [None, *sorted(set(map(int, cuts))), None]
@@ -41,15 +42,8 @@ def _run(spark, df: DataFrame, build: Callable[[DataFrame], DataFrame], label: s
         part = df if low is None else df.filter(F.col("seqno") >= low)
         part = part if high is None else part.filter(F.col("seqno") < high)
         part.write.mode("append").parquet(source)
-        out = build(spark.readStream.schema(df.schema).parquet(source))
-        stream = (
-            out.writeStream.format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(sink)
-        )
-        stream.awaitTermination()
-    return spark.read.schema(out.schema).parquet(sink), checkpoint
+        start(spark.readStream.schema(df.schema).parquet(source), path).awaitTermination()
+    return CarriedFolder(spark, path)
 
 
 @query(
@@ -59,11 +53,11 @@ def _run(spark, df: DataFrame, build: Callable[[DataFrame], DataFrame], label: s
 )
 def q_multiline_stream(spark, sf):
     rows = nonempty_message(views.records(spark, sf)).drop("fields_json")
-    merged, checkpoint = _run(
-        spark, rows, lambda lines: multiline_stream(lines, views.START_PATTERN, max_messages=3, timeout_ms=None), "merged"
+    done = _run(
+        spark, rows, lambda lines, path: merge_lines_stream(lines, path, views.START_PATTERN, max_messages=3, timeout_ms=None), "merged"
     )
-    drained = drain_entries(spark, checkpoint, rows)
-    return merged.unionByName(drained).select("client_id", "seqno", "message", "cursor", "realtime_ts", "priority")
+    shown = ("client_id", "seqno", "message", "cursor", "realtime_ts", "priority")
+    return done.output("entries").select(*shown).unionByName(done.last("held").select(*shown))
 
 
 @query(
@@ -75,13 +69,12 @@ FROM fold f JOIN sized s ON s.client_id = f.client_id AND s.rn = f.rn GROUP BY 1
 )
 def q_batch_stream(spark, sf):
     rows = views.kept(spark, sf).drop("fields_json").withColumn("parsed", F.lit(None).cast("map<string,string>"))
-    closed, checkpoint = _run(
-        spark, rows, lambda kept: batch_stream(kept, SPLIT_ROWS, SPLIT_BYTES, timeout_ms=None), "batched"
+    done = _run(
+        spark, rows, lambda kept, path: fill_batches_stream(kept, path, SPLIT_ROWS, SPLIT_BYTES, timeout_ms=None), "batched"
     )
-    last = closed.groupBy("client_id").agg((F.max("batch_no") + 1).alias("batch_no"))
-    open_rows = drain_batches(spark, checkpoint, rows).join(last, "client_id", "left")
-    open_rows = open_rows.withColumn("batch_no", F.coalesce("batch_no", F.lit(0)))
-    return batch_envelopes(closed.drop("batch_reset").unionByName(open_rows))
+    numbers = done.last("counters").select("client_id", F.col("number").alias("batch_no"))
+    open_rows = done.last("waiting").join(numbers, "client_id").select(*rows.columns, "batch_no")
+    return batch_envelopes(done.output("closed").select(*rows.columns, "batch_no").unionByName(open_rows))
 
 
 BATCH_OF = 25
@@ -103,13 +96,14 @@ def q_discard_on_mismatch(spark, sf):
     rows = views.kept(spark, sf).select("client_id", "seqno", "cursor", "position", "message", "priority", "fields_json")
     stop = (F.col("priority") == 5) & (F.get_json_object("fields_json", "$.k").cast("int") < 10)
     size = F.octet_length("message").cast("bigint")
-    closed, _ = _run(
+    names = Names(control="control")
+    done = _run(
         spark,
         rows.withColumn("control", F.when(stop, "mismatch")),
-        lambda rows: batch_stream(rows, BATCH_OF, 1 << 30, timeout_ms=None, size=size, control="control"),
+        lambda rows, path: fill_batches_stream(rows, path, BATCH_OF, 1 << 30, names, timeout_ms=None, size=size),
         "discard",
     )
-    return batch_envelopes(closed)
+    return batch_envelopes(done.output("closed"))
 
 
 INGEST = IngestSettings(mapping=LOG_TABLE_MAPPING, columns=LOG_TABLE)
