@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import stage
+from ledgerline.session import scratch_path
 from ledgerline.storage import Folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,15 +66,20 @@ class Workings:
 
     def __init__(self, label: str):
         self.label = label
+        self._paths: dict[int, str] = {}
 
     def stage(self, df: DataFrame, step: str) -> DataFrame:
-        return stage(df, f"{self.label}-{step}")
+        spark = df.sparkSession
+        path = scratch_path(spark, f"{self.label}-{step}")
+        df.write.parquet(path)
+        stored = spark.read.schema(df.schema).parquet(path)
+        self._paths[id(stored)] = path
+        return stored
 
     def drop(self, *frames: DataFrame) -> None:
+        """Remove the tables of frames that ``stage`` returned (and that are still held)."""
         for df in frames:
-            parents = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-            for path in parents:
-                Folder(df.sparkSession, path).remove("")
+            Folder(df.sparkSession, self._paths.pop(id(df))).remove("")
 
 
 def _slot(columns: list[str], bits: int) -> Column:

@@ -1,13 +1,15 @@
 """Connected components by alternating large and small stars, all on Spark.
 
 Every round hangs neighbours on the least node they can see, so the number of
-rounds grows with the logarithm of the component sizes. Edges of a hub are split
-by adaptive execution, as both sides of each join are stored tables.
+rounds grows with the logarithm of the component sizes. A star is one written
+table, and what tells whether a round changed anything is observed while it is
+written. Joins are sort-merge at every size, so that adaptive execution can split
+the edges of a hub and nothing that grows with the edges goes through the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import Workings
@@ -15,41 +17,39 @@ from ledgerline.llm.common import Workings
 MOST_ROUNDS = 60
 
 
-def _signature(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+def _written(work: Workings, edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges stored, with their number and a sum of hashes that tells sets of edges apart."""
+    seen = Observation()
+    facts = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hashes"))
+    stored = work.stage(edges.filter("u != v").distinct().observe(seen, *facts), "edges")
+    return stored, (seen.get["n"], seen.get["hashes"])
 
 
-def _star(work: Workings, edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star operation on edges (u, v), u != v."""
     if large:
         sides = edges.union(edges.select("v", "u"))
     else:
         sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    sides = work.stage(sides.distinct(), "sides")
-    least = work.stage(sides.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
-    joined = sides.join(least, "u")
+    least = sides.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    joined = sides.join(least.hint("merge"), "u")
     if large:
-        made = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        made = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-    made = work.stage(made.filter("u != v").distinct(), "edges")
-    work.drop(sides, least)
-    return made
+        return joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    # The least neighbour itself stands for the edge from u to it.
+    return joined.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (u, v): root is the least node of its component."""
     work = Workings("components")
-    edges = work.stage(edges.filter("u != v").distinct(), "start")
+    edges, now = _written(work, edges)
     before = None
     for _ in range(MOST_ROUNDS):
-        signature = _signature(edges)
-        if signature == before or not signature[0]:
+        if now == before or not now[0]:
             break
-        before = signature
+        before = now
         for large in (True, False):
-            after = _star(work, edges, large)
+            after, now = _written(work, _star(edges, large))
             work.drop(edges)
             edges = after
     else:

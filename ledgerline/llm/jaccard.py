@@ -295,24 +295,24 @@ def _classes(
     for level in range(1, MOST_LEVELS + 1):
         sizes = work.stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
         large_keys = sizes.filter(F.col("n") > small).select("key")
-        counted = rows.join(sizes, "key")
+        counted = rows.join(_sorted(sizes), "key")
         candidates.append(_pairs(work.stage(counted.filter(F.col("n") <= small).drop("n"), "small"), threshold))
         large = work.stage(
-            with_maybe(rows, ["key"], membership(large_keys, ["key"], bits), "maybe", bits).filter("maybe").join(large_keys, "key")
+            with_maybe(rows, ["key"], membership(large_keys, ["key"], bits), "maybe", bits).filter("maybe").join(_sorted(large_keys), "key")
             .select("key", "node", "bits"),
             "large",
         )
         alike = work.stage(_alike(large, level == MOST_LEVELS), "alike")
-        alike_rows.append(large.select("key", "node").join(alike.filter("dense").select("key"), "key"))
-        open_rows = large.select("key", "node").join(alike.filter("NOT dense").select("key"), "key")
+        alike_rows.append(large.select("key", "node").join(_sorted(alike.filter("dense").select("key")), "key"))
+        open_rows = large.select("key", "node").join(_sorted(alike.filter("NOT dense").select("key")), "key")
         paths = work.stage(open_rows.groupBy("node").agg(F.collect_list("key").alias("paths")), "open")
         work.drop(sizes)
         if paths.isEmpty():
             break
-        longer = paths.join(_sets_of(described, paths.select("node"), bits), "node").mapInArrow(_extend(threshold), "node binary, key long")
+        longer = _sorted(paths).join(_sets_of(described, paths.select("node"), bits), "node").mapInArrow(_extend(threshold), "node binary, key long")
         longer = work.stage(longer, "longer")
         known = with_maybe(faces, ["node"], membership(paths, ["node"], bits), "maybe", bits).filter("maybe").drop("maybe")
-        rows = work.stage(_meeting(longer).join(known.dropDuplicates(["node"]), "node").select("node", "size", "there", "bits", "key"), "level")
+        rows = work.stage(_meeting(longer).join(_sorted(known.dropDuplicates(["node"])), "node").select("node", "size", "there", "bits", "key"), "level")
         work.drop(paths, longer)
         levels.append(rows)
 
@@ -332,14 +332,14 @@ def _classes(
     grid = lambda s: grid_of.select(F.col("node").alias(s), F.col("grid").alias(f"{s}_grid"))
     apart = ~F.coalesce(F.col("a_grid") == F.col("b_grid"), F.lit(False))
     pairs = work.stage(
-        pairs.distinct().join(grid("a"), "a", "left").join(grid("b"), "b", "left").filter(apart).select("a", "b"), "pairs"
+        pairs.distinct().join(_sorted(grid("a")), "a", "left").join(_sorted(grid("b")), "b", "left").filter(apart).select("a", "b"), "pairs"
     )
     work.drop(*levels)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = work.stage(_sets_of(described, wanted, bits), "wanted")
     side = lambda s: sets.select(F.col("node").alias(s), F.col("tokens").alias(f"{s}_tokens"))
     links = work.stage(
-        pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_tokens", "b_tokens")
+        pairs.join(_sorted(side("a")), "a").join(_sorted(side("b")), "b").select("a", "b", "a_tokens", "b_tokens")
         .mapInArrow(_verify(threshold), "a binary, b binary"),
         "links",
     )
@@ -353,10 +353,10 @@ def _classes(
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(cells.select(F.col("node").alias("u"), F.col("to").alias("v")))
     roots = work.stage(components(edges), "roots")
     head = F.min(F.struct(F.col("rep_id").isNull(), F.col("rep_id"), F.col("node"))).alias("head")
-    heads = work.stage(roots.join(nodes, "node").groupBy("root").agg(head).select("root", "head.rep_id", "head.node"), "heads")
-    classed = roots.join(heads.select("root", F.col("rep_id").alias("class_id"), F.col("node").alias("head")), "root")
+    heads = work.stage(roots.join(_sorted(nodes), "node").groupBy("root").agg(head).select("root", "head.rep_id", "head.node"), "heads")
+    classed = roots.join(_sorted(heads.select("root", F.col("rep_id").alias("class_id"), F.col("node").alias("head"))), "root")
     known = work.stage(
-        nodes.join(counts, "node", "left").join(classed.drop("root"), "node", "left")
+        nodes.join(_sorted(counts), "node", "left").join(_sorted(classed.drop("root")), "node", "left")
         .select(
             "node", "rep_id", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"),
             F.coalesce("class_id", "rep_id").alias("class_id"), F.coalesce("head", "node").alias("head"),
@@ -365,7 +365,13 @@ def _classes(
     )
     placed = work.stage(members, "members")
     work.drop(described)
-    return placed.join(known, "node")
+    work.drop(cells, links, roots, heads, grid_of)
+    return placed.join(_sorted(known), "node")
+
+
+def _sorted(df: DataFrame) -> DataFrame:
+    """A side that grows with the documents: joined by sort-merge at every size, never sent through the driver."""
+    return df.hint("merge")
 
 
 def _pairs(rows: DataFrame, threshold: float) -> DataFrame:
@@ -379,7 +385,7 @@ def _pairs(rows: DataFrame, threshold: float) -> DataFrame:
         f"a_node < b_node AND least(a_size, b_size) >= {threshold} * greatest(a_size, b_size) - 1e-9 AND "
         f"(least(a_size, b_size) < {SKETCH_FROM} OR {agree} >= {SKETCH_SHARE} * {either})"
     )
-    return a.join(b, "key").filter(near).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    return a.join(_sorted(b), "key").filter(near).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def _alike(large: DataFrame, last: bool) -> DataFrame:
@@ -404,7 +410,7 @@ def _meeting(rows: DataFrame) -> DataFrame:
 def _cells(grid_of: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
     """(node, links, to) from each cell of the grids; (i, j), i <= j, holds blocks i and j of a grid."""
     sizes = grid_of.groupBy("grid").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = grid_of.join(sizes, "grid").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).join(sets, "node")
+    dealt = grid_of.join(_sorted(sizes), "grid").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).join(_sorted(sets), "node")
     other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return (
         other.select("grid", "node", "tokens", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
@@ -431,7 +437,7 @@ def drop_near_duplicates(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     marked = with_maybe(rows, ["doc_id"], membership(grouped.select("doc_id"), ["doc_id"], bits), "maybe", bits)
     suspects = marked.filter("maybe").select("row", F.col("doc_id").alias("id"), _node("text").alias("digest"))
     judged = suspects.join(
-        grouped, suspects["id"].eqNullSafe(grouped["doc_id"]) & (suspects["digest"] == grouped["node"]), "left"
+        _sorted(grouped), suspects["id"].eqNullSafe(grouped["doc_id"]) & (suspects["digest"] == grouped["node"]), "left"
     )
     alone = judged.filter(F.col("stays").isNull())
     heads = judged.filter("stays").dropDuplicates(["id", "digest"])
