@@ -291,22 +291,18 @@ def _classes(
     faces = described.select("node", "size", "there", "bits")
     # Equal sets have equal paths: a node's rows for a key count once.
     rows = work.stage(_meeting(described.select("node", "size", "there", "bits", F.explode("paths").alias("key"))), "level")
-    levels, candidates, alike_rows = [rows], [], []
+    kept, candidates, alike_rows = [], [], []
     for level in range(1, MOST_LEVELS + 1):
         sizes = work.stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-        large_keys = sizes.filter(F.col("n") > small).select("key")
-        counted = rows.join(_sorted(sizes), "key")
-        candidates.append(_pairs(work.stage(counted.filter(F.col("n") <= small).drop("n"), "small"), threshold))
-        large = work.stage(
-            with_maybe(rows, ["key"], membership(large_keys, ["key"], bits), "maybe", bits).filter("maybe").join(_sorted(large_keys), "key")
-            .select("key", "node", "bits"),
-            "large",
-        )
+        counted = work.stage(rows.join(_sorted(sizes), "key"), "counted")
+        work.drop(rows, sizes)
+        kept.append(counted)
+        candidates.append(_pairs(counted.filter(F.col("n") <= small).drop("n"), threshold))
+        large = counted.filter(F.col("n") > small).select("key", "node", "bits")
         alike = work.stage(_alike(large, level == MOST_LEVELS), "alike")
         alike_rows.append(large.select("key", "node").join(_sorted(alike.filter("dense").select("key")), "key"))
         open_rows = large.select("key", "node").join(_sorted(alike.filter("NOT dense").select("key")), "key")
         paths = work.stage(open_rows.groupBy("node").agg(F.collect_list("key").alias("paths")), "open")
-        work.drop(sizes)
         if paths.isEmpty():
             break
         longer = _sorted(paths).join(_sets_of(described, paths.select("node"), bits), "node").mapInArrow(_extend(threshold), "node binary, key long")
@@ -314,7 +310,6 @@ def _classes(
         known = with_maybe(faces, ["node"], membership(paths, ["node"], bits), "maybe", bits).filter("maybe").drop("maybe")
         rows = work.stage(_meeting(longer).join(_sorted(known.dropDuplicates(["node"])), "node").select("node", "size", "there", "bits", "key"), "level")
         work.drop(paths, longer)
-        levels.append(rows)
 
     met = alike_rows[0]
     for more in alike_rows[1:]:
@@ -334,7 +329,7 @@ def _classes(
     pairs = work.stage(
         pairs.distinct().join(_sorted(grid("a")), "a", "left").join(_sorted(grid("b")), "b", "left").filter(apart).select("a", "b"), "pairs"
     )
-    work.drop(*levels)
+    work.drop(*kept)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = work.stage(_sets_of(described, wanted, bits), "wanted")
     side = lambda s: sets.select(F.col("node").alias(s), F.col("tokens").alias(f"{s}_tokens"))
@@ -394,10 +389,11 @@ def _alike(large: DataFrame, last: bool) -> DataFrame:
     If p of the members have bit k of the sketch, two of them agree there with
     chance p^2 + (1-p)^2; the mean over bits is (1 + similarity) / 2.
     """
-    ones = [F.sum(F.expr(f"(bits >> {k}) & 1")).alias(f"o{k}") for k in range(64)]
+    ones = [F.expr(f"sum((bits >> {k}) & 1) AS o{k}") for k in range(64)]
     per_key = large.groupBy("key").agg(F.count(F.lit(1)).alias("m"), *ones)
-    agree = sum((F.pow(F.col(f"o{k}") / F.col("m"), 2) + F.pow(1 - F.col(f"o{k}") / F.col("m"), 2) for k in range(64)), F.lit(0.0)) / 64
-    return per_key.select("key", (F.lit(last) | (2 * agree - 1 >= ALIKE)).alias("dense"))
+    # One expression as text: built from columns it takes the driver seconds.
+    agree = " + ".join(f"pow(o{k} / m, 2) + pow(1 - o{k} / m, 2)" for k in range(64))
+    return per_key.select("key", (F.lit(last) | (F.expr(f"2 * ({agree}) / 64 - 1") >= ALIKE)).alias("dense"))
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
