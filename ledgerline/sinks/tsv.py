@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import re
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +40,33 @@ def _open_fs(path: str):
     return pafs.LocalFileSystem(), path.removeprefix("file:")
 
 
+def _manifest(prefix: str, run: str) -> str:
+    return f"{prefix}-{run}.manifest"
+
+
+def _staging(folder: str, prefix: str, run: str) -> str:
+    return f"{folder}/.{prefix}-{run}"
+
+
+def _exists(fs, path: str) -> bool:
+    return fs.get_file_info(path).type != pafs.FileType.NotFound
+
+
+def _drop_folder(folder: str) -> None:
+    fs, root = _open_fs(folder)
+    if _exists(fs, root):
+        fs.delete_dir(root)
+
+
+@dataclass(frozen=True)
+class ExportStats:
+    """What an export wrote: rows, files and the size of the last file."""
+
+    rows_written: int
+    files_written: int
+    bytes_last_file: int
+
+
 @dataclass
 class TaskFiles(WriterCommitMessage):
     partition: int
@@ -94,9 +123,10 @@ class _ZstdFile(_PlainFile):
 
 
 class TsvWriter(DataSourceArrowWriter):
-    """Tasks write into a staging folder; ``commit`` numbers and publishes.
+    """Tasks write into a staging folder; ``commit`` numbers their files in a manifest.
 
     Earlier files of the prefix stay until then, so a failed run loses nothing.
+    ``finish_exports`` gives the files their names.
     """
 
     def __init__(self, options: dict[str, str]):
@@ -105,7 +135,8 @@ class TsvWriter(DataSourceArrowWriter):
         self.zstd = options.get("zstd", "false") == "true"
         self.limit = int(options["limit"])
         self.by_index = options.get("byindex", "false") == "true"
-        self.staging = f"{self.folder}/.{self.prefix}-{options['run']}"
+        self.run = options["run"]
+        self.staging = _staging(self.folder, self.prefix, self.run)
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> TaskFiles:
         from pyspark import TaskContext
@@ -151,37 +182,24 @@ class TsvWriter(DataSourceArrowWriter):
         return TaskFiles(partition, done)
 
     def commit(self, messages: list[TaskFiles | None]) -> None:
+        """Write the manifest: from here on the export counts, whatever happens to this run."""
         fs, folder = _open_fs(self.folder)
         fs.create_dir(folder, recursive=True)
         ending = ".tsv.zst" if self.zstd else ".tsv"
         tasks = sorted((m for m in messages if m is not None), key=lambda m: m.partition)
-        published = set()
-        number = 0
-        for task in tasks:
-            for path, _, _ in task.files:
-                number += 1
-                name = f"{self.prefix}_{number:06d}{ending}"
-                target = f"{folder}/{name}"
-                if not isinstance(fs, pafs.LocalFileSystem) and (
-                    fs.get_file_info(target).type != pafs.FileType.NotFound
-                ):
-                    fs.delete_file(target)
-                fs.move(path, target)
-                published.add(name)
-        old = re.compile(re.escape(self.prefix) + r"_[0-9]{6,}\.tsv(\.zst)?")
-        for info in fs.get_file_info(pafs.FileSelector(folder)):
-            stale = old.fullmatch(info.base_name) and info.base_name not in published
-            if stale and info.type == pafs.FileType.File:
-                fs.delete_file(info.path)
-        self._drop_staging(fs)
+        files = [file for task in tasks for file in task.files]
+        lines = [
+            json.dumps({"number": n, "staged": path, "name": f"{self.prefix}_{n:06d}{ending}", "rows": rows, "bytes": size})
+            for n, (path, rows, size) in enumerate(files, 1)
+        ]
+        # A manifest takes its name once it is whole; half of one is never read.
+        beside = f"{folder}/.{self.prefix}-{self.run}"
+        with fs.open_output_stream(f"{beside}.part") as out:
+            out.write("\n".join([*lines, ""]).encode())
+        fs.move(f"{beside}.part", f"{folder}/{_manifest(self.prefix, self.run)}")
 
     def abort(self, messages) -> None:
-        self._drop_staging(_open_fs(self.staging)[0])
-
-    def _drop_staging(self, fs) -> None:
-        _, root = _open_fs(self.staging)
-        if fs.get_file_info(root).type == pafs.FileType.Directory:
-            fs.delete_dir(root)
+        _drop_folder(self.staging)
 
 
 class TsvSource(DataSource):
@@ -210,16 +228,104 @@ def _qualified(spark, path: str) -> str:
     return full
 
 
-def _save(lines: DataFrame, path: str, prefix: str, limit: int, zstd: bool, by_index: bool) -> None:
-    lines.sparkSession.dataSource.register(TsvSource)
+def _save(lines: DataFrame, path: str, prefix: str, limit: int, zstd: bool, by_index: bool) -> ExportStats:
+    spark = lines.sparkSession
+    prefix = export_prefix(prefix)
+    # An export that was cut off while its files got their names comes first: it is older.
+    finish_exports(spark, path, prefix)
+    spark.dataSource.register(TsvSource)
+    run = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
     lines.write.format(FORMAT).mode("append").options(
-        path=_qualified(lines.sparkSession, path),
-        prefix=export_prefix(prefix),
+        path=_qualified(spark, path),
+        prefix=prefix,
         limit=str(limit),
         zstd=str(zstd).lower(),
         byindex=str(by_index).lower(),
-        run=uuid.uuid4().hex,
+        run=run,
     ).save()
+    return finish_exports(spark, path, prefix)[run]
+
+
+MANIFEST = "number long, staged string, name string, rows long, bytes long"
+
+
+def _in_tasks(rows: DataFrame, files: int, action) -> None:
+    """``action(batches)`` over file rows, spread over the session's cores."""
+    width = max(1, min(files, rows.sparkSession.sparkContext.defaultParallelism))
+    rows.repartition(width).mapInArrow(action, "done long").agg(F.sum("done")).collect()
+
+
+def _clear(folder: str):
+    """Remove files of the last export: all that are not the new export's own."""
+
+    def clear(batches):
+        fs, root = _open_fs(folder)
+        for batch in batches:
+            for name, staged in zip(batch.column("name").to_pylist(), batch.column("staged").to_pylist()):
+                # Without a staged twin the file of that name has been placed already.
+                if (staged is None or _exists(fs, staged)) and _exists(fs, f"{root}/{name}"):
+                    fs.delete_file(f"{root}/{name}")
+            yield pa.RecordBatch.from_pydict({"done": [batch.num_rows]})
+
+    return clear
+
+
+def _place(folder: str):
+    """Give staged files their names; a file that a task before has placed stays."""
+
+    def place(batches):
+        fs, root = _open_fs(folder)
+        for batch in batches:
+            for name, staged in zip(batch.column("name").to_pylist(), batch.column("staged").to_pylist()):
+                if _exists(fs, staged):
+                    try:
+                        fs.move(staged, f"{root}/{name}")
+                    except OSError:
+                        # Another attempt of this task may have been faster.
+                        if _exists(fs, staged):
+                            raise
+                if not _exists(fs, f"{root}/{name}"):
+                    raise FileNotFoundError(f"{name} is neither staged nor placed")
+            yield pa.RecordBatch.from_pydict({"done": [batch.num_rows]})
+
+    return place
+
+
+def finish_exports(spark, path: str, prefix: str) -> dict[str, ExportStats]:
+    """Give the files of written exports their names, oldest first; statistics by run.
+
+    While an export's manifest is in the folder, its files may still carry other
+    names and old files may still be there. Tasks place the files, each on its own
+    and as often as need be, so this also completes an export whose driver was lost.
+    """
+    folder = _qualified(spark, path)
+    fs, root = _open_fs(folder)
+    if not _exists(fs, root):
+        return {}
+    prefix = export_prefix(prefix)
+
+    def listed() -> list[str]:
+        return [i.base_name for i in fs.get_file_info(pafs.FileSelector(root)) if i.type == pafs.FileType.File]
+
+    pending = re.compile(re.escape(prefix) + r"-([0-9]{20}-[0-9a-f]{32})\.manifest")
+    ours = re.compile(re.escape(prefix) + r"_[0-9]{6,}\.tsv(\.zst)?")
+    done = {}
+    for run in sorted(m[1] for m in map(pending.fullmatch, listed()) if m):
+        manifest = f"{folder}/{_manifest(prefix, run)}"
+        files = spark.read.schema(MANIFEST).json(f"file://{manifest}" if manifest.startswith("/") else manifest)
+        facts = files.agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("files"),
+            F.coalesce(F.max_by("bytes", "number"), F.lit(0)).alias("last"),
+        ).first()
+        there = [n for n in listed() if ours.fullmatch(n)]
+        if there:
+            old = spark.createDataFrame([(n,) for n in there], "name string").join(files, "name", "left")
+            _in_tasks(old.select("name", "staged"), len(there), _clear(folder))
+        _in_tasks(files.select("name", "staged"), facts.files, _place(folder))
+        _drop_folder(_staging(folder, prefix, run))
+        fs.delete_file(f"{root}/{_manifest(prefix, run)}")
+        done[run] = ExportStats(facts.rows, facts.files, facts.last)
+    return done
 
 
 def write_tsv(
@@ -232,14 +338,14 @@ def write_tsv(
     zstd: bool = False,
     rotation: str = "task",
     partitions: int | None = None,
-) -> None:
+) -> ExportStats:
     """Write rows in ``order`` to ``<prefix>_<NNNNNN>.tsv`` files.
 
     One range shuffle sorts the rows; every task renders, rotates and writes
     its range on its own, and files are numbered in range order. A file closes
     once it reaches the limit. With ``rotation='global'`` the cuts follow the
     running total over all rows instead (``rotate_files``): no short file at a
-    range's end, for one more pass over the data.
+    range's end, for one more pass over the data. Returns what was written.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
@@ -255,10 +361,9 @@ def write_tsv(
         # Whole files per task: the running total is also the order inside a file.
         lines = placed.repartitionByRange(partitions, "file_idx") if partitions else placed.repartitionByRange("file_idx")
         lines = lines.sortWithinPartitions("file_idx", "bytes_before").select("line", "file_idx")
-        _save(lines, path, prefix, limit, False, True)
-        return
+        return _save(lines, path, prefix, limit, False, True)
     lines = render_rows(in_ranges(df, order, partitions), columns).select("line")
-    _save(lines, path, prefix, limit, zstd, False)
+    return _save(lines, path, prefix, limit, zstd, False)
 
 
 def write_tsv_zstd(
@@ -269,9 +374,9 @@ def write_tsv_zstd(
     columns: list[str] | None = None,
     limit: int = ZSTD_LIMIT,
     partitions: int | None = None,
-) -> None:
+) -> ExportStats:
     """As ``write_tsv``, compressed; the limit counts compressed bytes."""
-    write_tsv(df, path, prefix, order, columns, limit, zstd=True, partitions=partitions)
+    return write_tsv(df, path, prefix, order, columns, limit, zstd=True, partitions=partitions)
 
 
 def read_tsv_zstd(spark, path: str, columns: list[str]) -> DataFrame:

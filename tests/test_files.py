@@ -1,5 +1,6 @@
 """Sources, TSV files and durable tables."""
 
+import json
 import os
 
 import pytest
@@ -14,7 +15,8 @@ from ledgerline.plans import views
 from ledgerline.plans.pipelines import IngestSettings, export_query, serve_batches
 from ledgerline.schema import TableColumn
 from ledgerline.sinks.tables import LogTable, PositionTable
-from ledgerline.sinks.tsv import export_prefix, write_tsv, write_tsv_zstd
+from ledgerline.sinks import tsv
+from ledgerline.sinks.tsv import ExportStats, export_prefix, finish_exports, write_tsv, write_tsv_zstd
 from ledgerline.sources.batches import scan_batches, split_batches
 from ledgerline.sources.journal import read_entries, scan_journal, skip_unreadable, to_records
 
@@ -47,6 +49,43 @@ def test_failed_export_keeps_the_old_one(spark, tmp_path):
     assert os.listdir(tmp_path) == ["out_000001.tsv"] and read(tmp_path / "out_000001.tsv") == b"old"
 
 
+@pytest.mark.parametrize("placed", [0, 1, 3])
+def test_an_export_cut_off_while_its_files_get_names_is_completed(spark, tmp_path, monkeypatch, placed):
+    for n in (1, 2, 9):
+        (tmp_path / f"out_{n:06d}.tsv").write_text("old")
+    rows = spark.range(3).select("id", F.lit("abcdef").alias("t"))
+
+    def lost(folder):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tsv, "_clear", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            write_tsv(rows, str(tmp_path), "out", ["id"], limit=4, partitions=1)
+    (manifest,) = [n for n in os.listdir(tmp_path) if n.endswith(".manifest")]
+    staged = [json.loads(line) for line in read(tmp_path / manifest).splitlines()]
+    # Nothing of the old export is gone yet; now some of the new files get their names.
+    assert read(tmp_path / "out_000001.tsv") == b"old"
+    for file in staged[:placed]:
+        os.replace(file["staged"], tmp_path / file["name"])
+    (stats,) = finish_exports(spark, str(tmp_path), "out").values()
+    assert stats == ExportStats(3, 3, 9)
+    assert sorted(os.listdir(tmp_path)) == [f"out_{n:06d}.tsv" for n in (1, 2, 3)]
+    assert [read(tmp_path / f"out_{n:06d}.tsv") for n in (1, 2, 3)] == [b"0\tabcdef\n", b"1\tabcdef\n", b"2\tabcdef\n"]
+    assert finish_exports(spark, str(tmp_path), "out") == {}
+    assert write_tsv(rows.limit(1), str(tmp_path), "out", ["id"]) == ExportStats(1, 1, 9)
+    assert os.listdir(tmp_path) == ["out_000001.tsv"]
+
+
+def test_export_statistics(spark, tmp_path):
+    rows = spark.range(1000).select("id")
+    for rotation in ("task", "global"):
+        stats = write_tsv(rows, str(tmp_path), "s", ["id"], limit=500, rotation=rotation, partitions=3)
+        names = sorted(os.listdir(tmp_path))
+        assert stats == ExportStats(1000, len(names), os.path.getsize(tmp_path / names[-1]))
+    assert write_tsv(rows.limit(0), str(tmp_path), "none", ["id"]) == ExportStats(0, 0, 0)
+
+
 @pytest.mark.parametrize("rotation", ["task", "global"])
 def test_order_over_many_partitions(spark, tmp_path, rotation):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("n"), F.repeat(F.lit("x"), 20).alias("t")).repartition(6)
