@@ -10,24 +10,60 @@ from ledgerline.functions.regex import Pattern, compile_pattern
 BODY_GROUP = "P_MESSAGE"
 
 
-def _matched_text(message: str, pattern: Pattern) -> Column:
-    """The text the pattern matches: all of it, else its first line, else null."""
-    text = F.col(message)
-    line_end = F.instr(text, "\n")
-    first_line = F.left(text, line_end - 1)
-    java = F.lit(pattern.java)
-    return F.when(F.rlike(text, java), text).when((line_end > 0) & F.rlike(first_line, java), first_line)
+#: Stands between the groups of a match; a code point that no text should hold.
+MARK = "\uffff"
+
+
+def _once(value: Column) -> Column:
+    """A generator of one row: what it computes is neither repeated nor pushed down.
+
+    Filters and later columns read its result, where they would otherwise each
+    get their own copy of the regex.
+    """
+    return F.explode_outer(F.array(value))
+
+
+def _match(text: Column, pattern: Pattern) -> Column:
+    """What one run of the pattern finds: [before, group, group, ...], or one element.
+
+    The run replaces the whole text by its groups, in order of ``pattern.named``,
+    each after a mark. Texts that hold the mark themselves take the slower way.
+    """
+    whole = f"\\A(?s:.*?)(?:{pattern.java})(?s:.*)\\z"
+    numbers = [i for _, i in pattern.named]
+    marked = F.regexp_replace(text, F.lit(whole), F.lit(MARK + MARK.join(f"${i}" for i in numbers)))
+    each = [F.regexp_extract(text, pattern.java, i) for i in numbers]
+    apart = F.when(F.rlike(text, F.lit(pattern.java)), F.array(F.lit(""), *(each or [F.lit("")]))).otherwise(F.array(text))
+    return F.when(F.contains(text, F.lit(MARK)), apart).otherwise(F.split(marked, MARK, -1))
+
+
+def _found(match: str) -> Column:
+    return F.coalesce(F.size(match) > 1, F.lit(False))
 
 
-def _groups(text: Column, pattern: Pattern) -> dict[str, Column]:
-    """Group text by name; empty where the group did not take part."""
-    return {name: F.regexp_extract(text, pattern.java, i) for name, i in pattern.named}
+def _groups(match: str, pattern: Pattern) -> dict[str, Column]:
+    """Group text by name; empty where there is no match or the group took no part."""
+    return {
+        name: F.when(_found(match), F.col(match)[at]).otherwise("") for at, (name, _) in enumerate(pattern.named, 1)
+    }
+
+
+def _with_match(df: DataFrame, message: str, pattern: Pattern) -> DataFrame:
+    """Add ``_match``: of the whole text, or else of its first line (``_first_line``)."""
+    text = F.col(message)
+    line_end = F.instr(text, "\n")
+    df = df.select("*", _once(_match(text, pattern)).alias("_whole"))
+    again = F.when(~_found("_whole") & (line_end > 0), _match(F.left(text, line_end - 1), pattern))
+    df = df.select("*", _once(again).alias("_again"))
+    return df.withColumns(
+        {"_match": F.when(_found("_whole"), F.col("_whole")).otherwise(F.col("_again")), "_first_line": _found("_again")}
+    )
 
 
 def _rest(message: str) -> Column:
-    """Lines after the first, empty when the whole message matched."""
+    """Lines after the first, empty unless only the first one matched."""
     return F.when(
-        F.length("_text") < F.length(message),
+        F.col("_first_line"),
         F.expr(f"substring(`{message}`, instr(`{message}`, '\\n') + 1)"),
     ).otherwise("")
 
@@ -81,17 +117,17 @@ def parse_record(
     override = None
     if message_pattern:
         pattern = compile_pattern(message_pattern)
-        df = df.withColumn("_text", _matched_text(message, pattern))
+        df = _with_match(df, message, pattern)
         if no_match == "skip":
-            df = df.filter(F.col("_text").isNotNull())
+            df = df.filter(_found("_match"))
         rest = _rest(message)
-        groups = _with_body(_groups(F.col("_text"), pattern), rest)
+        groups = _with_body(_groups("_match", pattern), rest)
         if BODY_GROUP in groups:
-            override = F.coalesce(rest != "", F.lit(False)) & F.col("_text").isNotNull()
-        groups = {n: F.coalesce(v, F.lit("")) for n, v in groups.items()}
+            override = F.coalesce(rest != "", F.lit(False))
     if unit_pattern:
-        for name, value in _groups(F.col(unit), compile_pattern(unit_pattern)).items():
-            value = F.coalesce(value, F.lit(""))
+        pattern = compile_pattern(unit_pattern)
+        df = df.select("*", _once(_match(F.col(unit), pattern)).alias("_unit_match"))
+        for name, value in _groups("_unit_match", pattern).items():
             groups[name] = F.when(groups[name] != "", groups[name]).otherwise(value) if name in groups else value
     if groups:
         result = _collect(existing, groups, override)
@@ -101,7 +137,7 @@ def parse_record(
         result = F.create_map().cast("map<string,string>")
     out = [F.col(c) for c in columns if c != parsed]
     if matched and message_pattern:
-        out.append(F.col("_text").isNotNull().alias(matched))
+        out.append(_found("_match").alias(matched))
     return df.select(*out, result.alias(parsed))
 
 

@@ -1,5 +1,6 @@
 """Text, number and time rules, stated as cases."""
 
+import re
 from datetime import datetime
 
 import pytest
@@ -237,3 +238,28 @@ def test_fingerprint_ignores_key_order(spark):
     hashes = {d.select(fields.payload_fingerprint()).first()[0] for d in (df, other)}
     assert len(hashes) == 1
     assert df.withColumn("seqno", F.lit(4)).select(fields.payload_fingerprint()).first()[0] not in hashes
+
+
+@pytest.mark.parametrize("pattern", [r"(?P<A>b+)(?P<B>x)?", r"(?i)(?P<B>[a-c])|(?P<A>zz)", r"^(?P<A>.*)$", r"b", r"(?P<A>)(b*)(?P<B>c*)", r"(?m)^(?P<A>b.*)$"])
+def test_one_match_gives_what_extracting_each_group_gives(spark, pattern):
+    compiled = compile_pattern(pattern)
+    texts = ["", "b", "aabbx bbb", "zz top", "a\nbxc", "no\n\nb", "$1 \\ b", "é\U0001f600b", "x\uffffbb", "\uffff", "\n", "aB" * 50, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, message string")
+    got = {r.i: r for r in parse.parse_message(df, pattern).collect()}
+    for i, text in enumerate(texts):
+        lines = [] if text is None else [text, *([text.split("\n")[0]] if "\n" in text else [])]
+        java = [(t, spark._jvm.java.util.regex.Pattern.compile(compiled.java).matcher(t)) for t in lines]
+        hit = next((m for _, m in java if m.find()), None)
+        assert got[i].matched == (hit is not None)
+        want = {n: hit.group(g) for n, g in compiled.named if hit.group(g)} if hit else {}
+        assert got[i].parsed == want
+
+
+def test_a_line_is_matched_once(spark):
+    df = spark.createDataFrame([("a b", "u-v")], "message string, systemd_unit string")
+    out = parse.parse_record(df, r"^(?P<A>\w) (?P<B>\w)$", r"^(?P<C>\w)-(?P<D>\w)$", "skip")
+    plan = out.filter("parsed['A'] = 'a'")._jdf.queryExecution().executedPlan().toString()
+    # The whole text, its first line where that fails, and the unit.
+    assert len(re.findall(r"Generate explode\(", plan)) == 3
+    assert all(line.count("regexp_replace") <= 1 for line in plan.splitlines())
+    assert plan.count("regexp_replace") == 3
