@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.streams import SEGMENT, SEGMENT_WIDTH, attach
+
 
 def lookup_positions(clients: DataFrame, positions: DataFrame) -> DataFrame:
     """Stored position per client: ``ok``, ``not_found``, or an error for no id."""
@@ -30,8 +32,25 @@ def find_anchors(
     return found.groupBy(client).agg(F.max(order).alias("_anchor"))
 
 
+def _with_anchors(rows: DataFrame, anchors: DataFrame, client: str, order: str, width: int) -> DataFrame:
+    """Rows with what ``anchors`` (one row per client) holds for their client, else nulls.
+
+    Anchors are given to the segments of each client first, so that rows are joined
+    by (client, segment) and a client with most rows is as many keys as it has segments.
+    """
+    segment = F.coalesce(F.expr(f"`{order}` div {int(width)}"), F.lit(-1))
+    parts = rows.withColumn(SEGMENT, segment)
+    held = parts.select(client, SEGMENT).distinct().join(anchors, client)
+    return attach(parts, held, client).drop(SEGMENT)
+
+
 def resume_after(
-    rows: DataFrame, positions: DataFrame, client: str = "client_id", order: str = "seqno", cursor: str = "cursor"
+    rows: DataFrame,
+    positions: DataFrame,
+    client: str = "client_id",
+    order: str = "seqno",
+    cursor: str = "cursor",
+    width: int = SEGMENT_WIDTH,
 ) -> DataFrame:
     """Rows after each client's stored cursor.
 
@@ -40,7 +59,7 @@ def resume_after(
     """
     anchors = find_anchors(rows, positions, client, order, cursor)
     return (
-        rows.join(anchors, client, "left")
+        _with_anchors(rows, anchors, client, order, width)
         .filter(F.col("_anchor").isNull() | (F.col(order) > F.col("_anchor")))
         .withColumn("reset", F.col("_anchor").isNull())
         .drop("_anchor")
@@ -48,7 +67,12 @@ def resume_after(
 
 
 def replay_plan(
-    verdicts: DataFrame, rows: DataFrame, client: str = "client_id", order: str = "seqno", cursor: str = "cursor"
+    verdicts: DataFrame,
+    rows: DataFrame,
+    client: str = "client_id",
+    order: str = "seqno",
+    cursor: str = "cursor",
+    width: int = SEGMENT_WIDTH,
 ) -> DataFrame:
     """For each client with a position mismatch: where to restart, what to drop.
 
@@ -76,8 +100,10 @@ def replay_plan(
         F.col("_anchor").isNull().alias("reset"),
         F.col("_anchor").alias("restart_after"),
     )
+    wanted = plan.select(F.col("client_id").alias(client), "restart_after", F.lit(True).alias("_wanted"))
     counts = (
-        rows.join(plan.select(F.col("client_id").alias(client), "restart_after"), client)
+        _with_anchors(rows, wanted, client, order, width)
+        .filter("_wanted")
         .groupBy(client)
         .agg(
             F.count_if(
