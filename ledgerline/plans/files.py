@@ -21,6 +21,7 @@ from ledgerline.plans.scalars import RE, RE_UNIT, hash_sql, show_rows
 from ledgerline.plans.views import duckdb_ctes, table
 from ledgerline.schema import LOG_TABLE
 from ledgerline.session import scratch_path, stage
+from ledgerline.sinks.dated import DATE, scan_dated, upsert_dated
 from ledgerline.sinks.tables import append_rows
 from ledgerline.sinks.tsv import read_tsv_zstd, write_tsv, write_tsv_zstd
 from ledgerline.sources.batches import batch_records, scan_batches
@@ -251,8 +252,7 @@ def tsv_text(name: str) -> str:
     return f"replace(replace(replace({name}, chr(9), '\\t'), chr(10), '\\n'), chr(13), '\\r')"
 
 
-@query(
-    "export_query",
+EXPORTED = (
     STORED_LOG
     + f""", x AS (SELECT *, concat_ws(chr(9), {TIME_TEXT.format('ts_orig')}, dbname, service, level, {tsv_text('msg')}, unit,
         CAST(seqno AS VARCHAR), {TIME_TEXT.format('ts_log')}, message_hash, hostname) AS line FROM log
@@ -261,18 +261,28 @@ def tsv_text(name: str) -> str:
 r AS (SELECT line, CAST(strlen(line) + 1 AS BIGINT) AS line_bytes,
         CAST(coalesce(sum(strlen(line) + 1) OVER (ORDER BY ts_orig, ts_log, seqno, hostname, message_hash
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS bytes_before FROM x)
-SELECT line, line_bytes, bytes_before // {EXPORT_LIMIT} + 1 AS file_idx, bytes_before FROM r""",
+SELECT line, line_bytes, bytes_before // {EXPORT_LIMIT} + 1 AS file_idx, bytes_before FROM r"""
 )
+TIES = ["ts_log", "seqno", "hostname", "message_hash"]
+INTERVAL = ("2024-01-03T00:00:00Z", "2024-01-27T12:00:00Z", ["level=INFO,ERROR", "dbname=db0, db2", "level=unknown"])
+
+
+@query("export_query", EXPORTED)
 def q_export_query(spark, sf):
     log = scan_log_table(spark, stored_log_table(spark, sf))
-    return export_query(
-        log,
-        "2024-01-03T00:00:00Z",
-        "2024-01-27T12:00:00Z",
-        ["level=INFO,ERROR", "dbname=db0, db2", "level=unknown"],
-        ties=["ts_log", "seqno", "hostname", "message_hash"],
-        limit=EXPORT_LIMIT,
-    )
+    return export_query(log, *INTERVAL, ties=TIES, limit=EXPORT_LIMIT)
+
+
+@query("export_dated", EXPORTED)
+def q_export_dated(spark, sf):
+    """The same interval from a table by date, loaded in two runs that overlap."""
+    log = scan_log_table(spark, stored_log_table(spark, sf))
+    path = scratch_path(spark, "by-date")
+    early = F.col("ts_orig") < F.lit("2024-01-20").cast("timestamp")
+    late = F.col("ts_orig") >= F.lit("2024-01-10").cast("timestamp")
+    for part in (log.filter(early).withColumn("level", F.lit("INFO")), log.filter(early), log.filter(late | ~early)):
+        upsert_dated(part, path, ["ts_orig", *TIES], "ts_log")
+    return export_query(scan_dated(spark, path), *INTERVAL, ties=TIES, limit=EXPORT_LIMIT, date=DATE)
 
 
 @query(

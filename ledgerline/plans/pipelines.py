@@ -38,6 +38,9 @@ class IngestSettings:
     unit_pattern: str | None = None
     no_match: str = "send_raw"
     max_messages: int = MAX_LINES
+    #: Time column (microseconds) and the gap in it that ends an entry; no gap rule without both.
+    gap_time: str | None = None
+    gap_us: int | None = None
     base: int = 0
     mapping: list[FieldMapping] = field(default_factory=lambda: list(LOG_TABLE_MAPPING))
     columns: list[TableColumn] = field(default_factory=lambda: list(LOG_TABLE))
@@ -54,7 +57,12 @@ def accept_entries(
     """
     kept = nonempty_message(unit_filter(entries, settings.unit_mask))
     merged = multiline_merge(
-        kept, settings.start_pattern, order=order, max_messages=settings.max_messages
+        kept,
+        settings.start_pattern,
+        order=order,
+        max_messages=settings.max_messages,
+        time=settings.gap_time,
+        timeout_us=settings.gap_us,
     )
     parsed = parse_record(merged, settings.message_pattern, settings.unit_pattern, settings.no_match)
     return stamp_entries(stage(parsed, "accepted"), start, settings.base, order=order, to="seqno")
@@ -94,14 +102,53 @@ def ingest_batch(
     return upsert_rows(target, rows, settings.keys, order).select(*names)
 
 
+@dataclass(frozen=True)
+class Ingested:
+    """Table rows, and the records that do not fit the table.
+
+    ``rejects`` holds each record's columns and its first fault in ``error``.
+    """
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+def ingest_accepting(
+    entries: DataFrame,
+    settings: IngestSettings,
+    target: DataFrame | None = None,
+    order: str = "entry_seq",
+    start: str | DataFrame = "",
+) -> Ingested:
+    """As ``ingest_batch``, but a record that does not fit the table costs only itself.
+
+    Records are mapped once and written with their faults; rows and rejects both
+    read that table. Numbers and positions are given before, so they are those of
+    a load in which every record fits.
+    """
+    accepted = accept_entries(entries, settings, order, start)
+    record = "_record"
+    names = [c.name for c in settings.columns]
+    carried = accepted.withColumns({record: F.struct(*accepted.columns), f"_{order}": F.col(order)})
+    mapped = to_table_rows(carried, settings, keep=[record, f"_{order}"])
+    error = F.coalesce("map_error", "encode_error")
+    # Only a rejected record is needed again as it came.
+    mapped = mapped.select(*names, f"_{order}", F.when(error.isNotNull(), F.col(record)).alias(record), error.alias("error"))
+    mapped = stage(mapped, "mapped")
+    fits = mapped.filter(F.col("error").isNull()).select(*names, f"_{order}")
+    rejects = mapped.filter(F.col("error").isNotNull()).select(f"{record}.*", "error")
+    return Ingested(upsert_rows(target, fits, settings.keys, f"_{order}").select(*names), rejects)
+
+
 def select_export(
     log: DataFrame,
     start: str,
     end: str,
     filters: list[str] | None = None,
     time: str = "ts_orig",
+    date: str | None = None,
 ) -> DataFrame:
-    return in_lists(time_range(log, start, end, time), filters or [])
+    return in_lists(time_range(log, start, end, time, date), filters or [])
 
 
 def export_query(
@@ -112,13 +159,16 @@ def export_query(
     time: str = "ts_orig",
     ties: list[str] | None = None,
     limit: int = 200 * 1024 * 1024,
+    date: str | None = None,
 ) -> DataFrame:
     """An interval of the log table as sorted TSV lines with file numbers.
 
-    Sorting and numbering happen in ``rotate_files``: one range shuffle.
+    Sorting and numbering happen in ``rotate_files``: one range shuffle. ``date``
+    names the column by which a table of ``sinks.dated`` is partitioned: only the
+    interval's dates are read, and lines don't show it.
     """
-    chosen = select_export(log, start, end, filters, time)
-    columns = log.columns
+    chosen = select_export(log, start, end, filters, time, date)
+    columns = [c for c in log.columns if c != date]
     return rotate_files(
         chosen, [time, *(ties or [])], limit, prepare=lambda rows: render_rows(rows, columns)
     )
