@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import scratch_path
@@ -57,6 +58,15 @@ def crc_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % divisor
 
 
+#: Rows of a few numbers and digests that one task writes.
+ROWS_PER_TASK = 1 << 18
+
+
+def tasks_for(spark: SparkSession, rows: int, each: int = ROWS_PER_TASK) -> int:
+    """Tasks for so many rows: all cores at least, more as the rows grow."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / each))
+
+
 class Workings:
     """Tables written to the shared folder while an operator builds its plan.
 
@@ -68,14 +78,25 @@ class Workings:
         self.label = label
         self._paths: dict[int, str] = {}
 
-    def stage(self, df: DataFrame, step: str) -> DataFrame:
+    def stage(self, df: DataFrame, step: str, tasks: int | None = None) -> DataFrame:
+        """``df`` written and read back; by at most ``tasks`` tasks, if it is known to be small."""
         spark = df.sparkSession
+        df = df if tasks is None else df.coalesce(tasks)
         path = scratch_path(spark, f"{self.label}-{step}")
         df.write.parquet(path)
         stored = spark.read.schema(df.schema).parquet(path)
         self._paths[id(stored)] = path
         return stored
 
+    def stage_counted(self, df: DataFrame, step: str, tasks: int | None = None) -> tuple[DataFrame, int]:
+        """As ``stage``, with the number of rows, observed while they are written.
+
+        Tasks that ran twice may count twice: good for sizes, and 0 means none.
+        """
+        seen = Observation()
+        stored = self.stage(df.observe(seen, F.count(F.lit(1)).alias("n")), step, tasks)
+        return stored, seen.get["n"]
+
     def drop(self, *frames: DataFrame) -> None:
         """Remove the tables of frames that ``stage`` returned (and that are still held)."""
         for df in frames:

@@ -12,16 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Workings
+from ledgerline.llm.common import Workings, tasks_for
 
 MOST_ROUNDS = 60
 
 
-def _written(work: Workings, edges: DataFrame) -> tuple[DataFrame, tuple]:
+def _written(work: Workings, edges: DataFrame, tasks: int | None = None) -> tuple[DataFrame, tuple]:
     """The edges stored, with their number and a sum of hashes that tells sets of edges apart."""
     seen = Observation()
     facts = (F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hashes"))
-    stored = work.stage(edges.filter("u != v").distinct().observe(seen, *facts), "edges")
+    stored = work.stage(edges.filter("u != v").distinct().observe(seen, *facts), "edges", tasks)
     return stored, (seen.get["n"], seen.get["hashes"])
 
 
@@ -49,7 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
             break
         before = now
         for large in (True, False):
-            after, now = _written(work, _star(edges, large))
+            # A star has no more edges than it was made from.
+            after, now = _written(work, _star(edges, large), tasks_for(edges.sparkSession, now[0]))
             work.drop(edges)
             edges = after
     else:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import FILTER_BITS, Workings, membership, query, table, texts, with_maybe
+from ledgerline.llm.common import FILTER_BITS, Workings, membership, query, table, tasks_for, texts, with_maybe
 from ledgerline.llm.components import components
 
 WORDS = 5
@@ -53,6 +53,8 @@ ALIKE = 0.6
 #: Members of a block of a grid.
 BLOCK = 512
 MOST_LEVELS = 12
+#: Whole sets that one task reads to extend their paths.
+SETS_PER_TASK = 2000
 #: Bits of the filter of sampled shingles that occur again (4 MB at most, see FILTER_BITS).
 KEY_BITS = 1 << 24
 #: Sketches are compared if both sets have so many shingles; so many of 64 bins must agree.
@@ -284,31 +286,35 @@ def _classes(
     """As ``near_classes``, with node (a digest of the shingles) and head (the node that stands for the class)."""
     work = Workings("jaccard")
     runs = math.ceil(math.log(1 - recall) / math.log(1 - RUN_CHANCE))
-    described = work.stage(texts(docs).mapInArrow(_describe(runs, threshold), _NODE_SCHEMA), "sets")
+    described, n_docs = work.stage_counted(texts(docs).mapInArrow(_describe(runs, threshold), _NODE_SCHEMA), "sets")
+    few = tasks_for(docs.sparkSession, n_docs)
     members = described.select("doc_id", "node")
-    nodes = work.stage(members.groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies")), "nodes")
+    nodes = work.stage(members.groupBy("node").agg(F.min("doc_id").alias("rep_id"), F.count(F.lit(1)).alias("copies")), "nodes", few)
 
     faces = described.select("node", "size", "there", "bits")
     # Equal sets have equal paths: a node's rows for a key count once.
-    rows = work.stage(_meeting(described.select("node", "size", "there", "bits", F.explode("paths").alias("key"))), "level")
+    rows, n_rows = work.stage_counted(_meeting(described.select("node", "size", "there", "bits", F.explode("paths").alias("key"))), "level")
     kept, candidates, alike_rows = [], [], []
     for level in range(1, MOST_LEVELS + 1):
-        sizes = work.stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-        counted = work.stage(rows.join(_sorted(sizes), "key"), "counted")
+        # Later levels have few rows: they are written by as few tasks as they need.
+        tasks = tasks_for(docs.sparkSession, n_rows)
+        sizes = work.stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets", tasks)
+        counted = work.stage(rows.join(_sorted(sizes), "key"), "counted", tasks)
         work.drop(rows, sizes)
         kept.append(counted)
         candidates.append(_pairs(counted.filter(F.col("n") <= small).drop("n"), threshold))
         large = counted.filter(F.col("n") > small).select("key", "node", "bits")
-        alike = work.stage(_alike(large, level == MOST_LEVELS), "alike")
+        alike = work.stage(_alike(large, level == MOST_LEVELS), "alike", tasks)
         alike_rows.append(large.select("key", "node").join(_sorted(alike.filter("dense").select("key")), "key"))
         open_rows = large.select("key", "node").join(_sorted(alike.filter("NOT dense").select("key")), "key")
-        paths = work.stage(open_rows.groupBy("node").agg(F.collect_list("key").alias("paths")), "open")
-        if paths.isEmpty():
+        paths, n_open = work.stage_counted(open_rows.groupBy("node").agg(F.collect_list("key").alias("paths")), "open", tasks)
+        if not n_open:
             break
         longer = _sorted(paths).join(_sets_of(described, paths.select("node"), bits), "node").mapInArrow(_extend(threshold), "node binary, key long")
-        longer = work.stage(longer, "longer")
+        longer, n_longer = work.stage_counted(longer, "longer", tasks_for(docs.sparkSession, n_open, SETS_PER_TASK))
         known = with_maybe(faces, ["node"], membership(paths, ["node"], bits), "maybe", bits).filter("maybe").drop("maybe")
-        rows = work.stage(_meeting(longer).join(_sorted(known.dropDuplicates(["node"])), "node").select("node", "size", "there", "bits", "key"), "level")
+        met = _meeting(longer).join(_sorted(known.dropDuplicates(["node"])), "node").select("node", "size", "there", "bits", "key")
+        rows, n_rows = work.stage_counted(met, "level", tasks_for(docs.sparkSession, n_longer))
         work.drop(paths, longer)
 
     met = alike_rows[0]
@@ -316,7 +322,7 @@ def _classes(
         met = met.unionByName(more)
     met = met.select(F.concat(F.lit("n"), F.hex("node")).alias("u"), F.concat(F.lit("k"), F.col("key").cast("string")).alias("v"))
     grid_of = work.stage(
-        components(met).filter(F.col("node").startswith("n")).select(F.unhex(F.substring("node", 2, 32)).alias("node"), F.col("root").alias("grid")), "grids"
+        components(met).filter(F.col("node").startswith("n")).select(F.unhex(F.substring("node", 2, 32)).alias("node"), F.col("root").alias("grid")), "grids", few
     )
     cells = work.stage(_cells(grid_of, _sets_of(described, grid_of.select("node"), bits), threshold, block), "cells")
 
@@ -326,17 +332,20 @@ def _classes(
     # Pairs within a grid have been compared there.
     grid = lambda s: grid_of.select(F.col("node").alias(s), F.col("grid").alias(f"{s}_grid"))
     apart = ~F.coalesce(F.col("a_grid") == F.col("b_grid"), F.lit(False))
-    pairs = work.stage(
+    pairs, n_pairs = work.stage_counted(
         pairs.distinct().join(_sorted(grid("a")), "a", "left").join(_sorted(grid("b")), "b", "left").filter(apart).select("a", "b"), "pairs"
     )
     work.drop(*kept)
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = work.stage(_sets_of(described, wanted, bits), "wanted")
+    # A pair names two sets at most, and brings both.
+    checked = tasks_for(docs.sparkSession, 2 * n_pairs, SETS_PER_TASK)
+    sets = work.stage(_sets_of(described, wanted, bits), "wanted", checked)
     side = lambda s: sets.select(F.col("node").alias(s), F.col("tokens").alias(f"{s}_tokens"))
     links = work.stage(
         pairs.join(_sorted(side("a")), "a").join(_sorted(side("b")), "b").select("a", "b", "a_tokens", "b_tokens")
         .mapInArrow(_verify(threshold), "a binary, b binary"),
         "links",
+        checked,
     )
     work.drop(pairs, sets)
 
@@ -346,9 +355,9 @@ def _classes(
         .groupBy("node").agg(F.sum("links").alias("n_links"))
     )
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(cells.select(F.col("node").alias("u"), F.col("to").alias("v")))
-    roots = work.stage(components(edges), "roots")
+    roots = work.stage(components(edges), "roots", few)
     head = F.min(F.struct(F.col("rep_id").isNull(), F.col("rep_id"), F.col("node"))).alias("head")
-    heads = work.stage(roots.join(_sorted(nodes), "node").groupBy("root").agg(head).select("root", "head.rep_id", "head.node"), "heads")
+    heads = work.stage(roots.join(_sorted(nodes), "node").groupBy("root").agg(head).select("root", "head.rep_id", "head.node"), "heads", few)
     classed = roots.join(_sorted(heads.select("root", F.col("rep_id").alias("class_id"), F.col("node").alias("head"))), "root")
     known = work.stage(
         nodes.join(_sorted(counts), "node", "left").join(_sorted(classed.drop("root")), "node", "left")
@@ -357,6 +366,7 @@ def _classes(
             F.coalesce("class_id", "rep_id").alias("class_id"), F.coalesce("head", "node").alias("head"),
         ),
         "known",
+        few,
     )
     placed = work.stage(members, "members")
     work.drop(described)
