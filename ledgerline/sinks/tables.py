@@ -1,201 +1,137 @@
-"""Durable log tables and position tables on plain Parquet."""
+"""Log tables and position tables that streams write, on plain Parquet."""
 
 from __future__ import annotations
 
+import re
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructType, TimestampType
 
 from ledgerline.operators.merge import latest_by_key, upsert_positions, upsert_rows
 from ledgerline.schema import LOG_TABLE, LOG_TABLE_KEY, POSITION, TableColumn, struct_of
+from ledgerline.sinks.dated import DATE, with_date
 from ledgerline.storage import Folder
 
+#: When a row's batch was written, in nanoseconds: later batches win.
+WRITTEN = "_written"
+NO_STREAM = "none"
+
 
 def append_rows(df: DataFrame, path: str) -> None:
     """Append without looking for duplicates."""
     df.write.mode("append").parquet(path)
 
 
-class _Versioned:
-    """Numbered pointer files; the highest complete one is current.
-
-    A pointer is created by rename and never rewritten, so a crash leaves the
-    previous one in force. If another writer has published the next step in the
-    meantime, publishing fails; the caller's micro-batch then runs again.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.folder = Folder(spark, self.path)
-
-    def _current(self) -> dict:
-        pointers = [n for n in self.folder.names() if n.startswith("state-")]
-        return self.folder.read_json(pointers[-1]) if pointers else {"step": -1}
-
-    def _publish(self, state: dict) -> dict:
-        state = {**state, "step": state["step"] + 1}
-        self.folder.write_json(f"state-{state['step']:012d}", state, new=True)
-        for name in [n for n in self.folder.names() if n.startswith("state-")][:-3]:
-            self.folder.remove(name)
-        return state
+def _batch_folder(stream: str, batch_id: int) -> str:
+    """A stream's number of a micro-batch names its folder: the batch run again replaces it."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", stream):
+        raise ValueError(f"stream {stream!r} can't name a folder")
+    return f"stream={stream}/batch={batch_id}"
 
 
-def _newest(entries: list[dict]) -> list[dict]:
-    """The last stored entry of each stream, which may still be written again."""
-    return list({e["stream"]: e for e in entries}.values())
+def _overwrite(rows: DataFrame, path: str, by: list[str]) -> None:
+    # Static: dates that a batch run again no longer has go as well.
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
 
 
-class LogTable(_Versioned):
-    """A keyed table of a base and the batches written since.
+class LogTable:
+    """A keyed table: a folder for each micro-batch, by date inside; readers take the latest row of a key.
 
-    A batch is known by its stream and its number there, and stored under the
-    step that publishes it, so equal numbers of two streams (or of a new
-    checkpoint) never meet. Nothing is dropped for its number: a batch written
-    again replaces its former copy if that is still apart, and otherwise is
-    applied by key, which changes nothing.
+    Writing costs the batch alone and looks at nothing stored. If the first key is a
+    timestamp its UTC date is a folder too, so a condition on it prunes the scan of all
+    batches. Two streams, or a new checkpoint that counts from 0 again, write to
+    different folders. Of batches with the same key the one written last wins.
 
-    Writing a batch costs the batch and a look at the stored rows of its key
-    range. Batches without a stored key are just added to what readers scan;
-    only those that replace rows are applied by key when reading, until
-    ``compact`` folds them in. Added batches are packed into larger files now
-    and then, at the cost of those batches alone.
+    A batch is seen as its files appear; one cut off is replaced when it runs again.
+    Many small batches are many files: move dates that are complete to a table of
+    ``sinks.dated`` (``upsert_dated``) if the stream goes on for long.
     """
 
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        columns: list[TableColumn] = LOG_TABLE,
-        keys: list[str] = LOG_TABLE_KEY,
-        compact_after: int = 64,
-        pack_after: int = 256,
+        self, spark: SparkSession, path: str, columns: list[TableColumn] = LOG_TABLE, keys: list[str] = LOG_TABLE_KEY
     ):
-        super().__init__(spark, path)
+        self.spark = spark
+        self.path = path.rstrip("/")
         self.schema = struct_of(columns)
         self.keys = list(keys)
-        self.compact_after, self.pack_after = compact_after, pack_after
+        self.by = [DATE] if isinstance(self.schema[self.keys[0]].dataType, TimestampType) else []
 
-    def upsert(self, rows: DataFrame, batch_id: int, order: str | list[str] | None = None, stream: str = "") -> None:
+    def upsert(
+        self, rows: DataFrame, batch_id: int, order: str | list[str] | None = None, stream: str = NO_STREAM
+    ) -> None:
         """Write batch ``batch_id`` of ``stream``; ``order`` picks among rows of one key, if there may be several."""
+        folder = _batch_folder(stream, batch_id)
         if order is not None:
             names = [order] if isinstance(order, str) else order
             rows = latest_by_key(rows, self.keys, F.struct(*names))
-        state = self._current()
-        step = state["step"] + 1
-        self._write(rows.select(*self.schema.names), f"batch={step}")
-        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/batch={step}")
-        entry = {"step": step, "stream": stream, "batch": batch_id}
-        same = lambda e: e["stream"] == stream and e["batch"] == batch_id
-        state = {
-            **state,
-            "added": [e for e in state.get("added", []) if not same(e)],
-            "replacing": [e for e in state.get("replacing", []) if not same(e)],
-        }
-        kind = "replacing" if self._replaces(state, written) else "added"
-        state[kind] = [*state[kind], entry]
-        state = self._publish(state)
-        if len(state["replacing"]) >= self.compact_after:
-            self.compact()
-        elif len(state["added"]) > self.pack_after:
-            self._pack(state)
-
-    def _write(self, rows: DataFrame, folder: str) -> None:
-        """Ordered by key over all files, so that a time interval (the key's lead) is few files and row groups."""
-        ordered = rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
-        ordered.write.mode("overwrite").parquet(f"{self.path}/{folder}")
-
-    def _plain(self, folders: list[str]) -> DataFrame:
-        # One scan over all folders; ``batch=`` in their names is not a column here.
-        reader = self.spark.read.schema(self.schema).option("recursiveFileLookup", "true")
-        return reader.parquet(*[f"{self.path}/{f}" for f in folders])
-
-    def _pack(self, state: dict) -> None:
-        """Rewrite the added batches but the newest of each stream."""
-        keep = _newest(state["added"])
-        old = [e for e in state["added"] if e not in keep]
-        if not old:
-            return
-        pack = f"pack-{state['step'] + 1:012d}"
-        self._write(self._plain([f"batch={e['step']}" for e in old]), pack)
-        self._publish({**state, "packs": [*state.get("packs", []), pack], "added": keep})
-
-    def _replaces(self, state: dict, rows: DataFrame) -> bool:
-        """Whether any key of ``rows`` is stored, looking only at their key range."""
-        lead = self.keys[0]
-        low, high = rows.agg(F.min(lead), F.max(lead)).first()
-        stored = None if low is None else self._read(state)
-        if stored is None:
-            return False
-        near = stored.filter(F.col(lead).between(F.lit(low), F.lit(high))).select(*self.keys)
-        return not near.join(rows.select(*self.keys), self.keys, "left_semi").isEmpty()
-
-    def _read(self, state: dict) -> DataFrame | None:
-        base = [state["base"]] if state.get("base") else []
-        plain = base + state.get("packs", []) + [f"batch={e['step']}" for e in state.get("added", [])]
-        stored = self._plain(plain) if plain else None
-        replacing = state.get("replacing", [])
-        if not replacing:
-            return stored
-        fresh = (
-            self.spark.read.schema(StructType([*self.schema.fields, StructField("batch", LongType())]))
-            .option("basePath", self.path)
-            .parquet(*[f"{self.path}/batch={e['step']}" for e in replacing])
-        )
-        return upsert_rows(stored, fresh, self.keys, "batch").select(*self.schema.names)
-
-    def read(self) -> DataFrame:
-        stored = self._read(self._current())
-        return self.spark.createDataFrame([], self.schema) if stored is None else stored
-
-    def compact(self) -> None:
-        """Fold all batches into a new base."""
-        state = self._current()
-        if not state.get("added") and not state.get("replacing") and not state.get("packs"):
-            return
-        base = f"base-{state['step'] + 1:012d}"
-        self._write(self.read(), base)
-        self._publish({"step": state["step"], "base": base, "added": [], "replacing": []})
-
-
-class PositionTable(_Versioned):
-    """One position per client: a base and the changes of the newest batches.
-
-    The newest change of each stream stays apart, so a batch that runs again can
-    start from the positions before it and then replace its own change. Older
-    changes are folded into the base, in the order they were published.
+        rows = rows.select(*self.schema.names)
+        if self.by:
+            rows = with_date(rows, self.keys[0])
+        # Ranges of the key, whose lead is the time: a task has few dates, a time interval few files.
+        placed = rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.by, *self.keys)
+        _overwrite(placed.withColumn(WRITTEN, F.lit(time.time_ns())), f"{self.path}/{folder}", self.by)
+
+    def read(self, dated: bool = False) -> DataFrame:
+        """The latest row of each key; with ``dated`` also the column that prunes, for ``time_range``."""
+        shown = [*self.schema.names, *(self.by if dated else [])]
+        schema = StructType(list(self.schema.fields)).add(WRITTEN, LongType())
+        for name in self.by:
+            schema = schema.add(name, "date")
+        if not Folder(self.spark, self.path).exists():
+            return self.spark.createDataFrame([], schema).select(*shown)
+        stored = self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
+        # The date follows from the key; as a grouping column it lets conditions reach the scan.
+        return latest_by_key(stored, [*self.keys, *self.by], WRITTEN).select(*shown)
+
+
+class PositionTable:
+    """One position per client: each micro-batch writes those its stream has set so far.
+
+    So a stream's newest folder is all it has to say, the one before it is where a
+    batch that runs again starts from, and older ones are removed. Of several streams
+    that set a client the last one counts.
     """
 
-    def read(self, before: int | None = None, stream: str = "") -> DataFrame | None:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.folder = Folder(spark, self.path)
+        self.schema = StructType(list(POSITION.fields)).add(WRITTEN, LongType())
+
+    def _numbers(self, stream: str) -> list[int]:
+        """The batches of a stream whose write was completed."""
+        numbers = [int(name.partition("=")[2]) for name in self.folder.names(f"stream={stream}")]
+        return sorted(n for n in numbers if self.folder.exists(f"{_batch_folder(stream, n)}/_SUCCESS"))
+
+    def _set_by(self, stream: str, before: int | None = None) -> DataFrame | None:
+        """What a stream has set, or had before a batch of it."""
+        numbers = [n for n in self._numbers(stream) if before is None or n < before]
+        if not numbers:
+            return None
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{_batch_folder(stream, numbers[-1])}")
+
+    def read(self, before: int | None = None, stream: str = NO_STREAM) -> DataFrame | None:
         """The positions, or what they are without batch ``before`` of ``stream``."""
-        return self._fold(self._current(), None if before is None else (stream, before))
-
-    def _fold(self, state: dict, without: tuple | None = None) -> DataFrame | None:
-        read = lambda folder: self.spark.read.schema(POSITION).parquet(f"{self.path}/{folder}")
-        positions = read(state["base"]) if state.get("base") else None
-        for entry in state.get("changes", []):
-            if (entry["stream"], entry["batch"]) != without:
-                positions = upsert_positions(positions, read(f"change-{entry['step']}"))
-        return positions
-
-    def upsert(self, incoming: DataFrame, batch_id: int, stream: str = "") -> None:
-        state = self._current()
-        step = state["step"] + 1
-        changes = [e for e in state.get("changes", []) if (e["stream"], e["batch"]) != (stream, batch_id)]
-        incoming.select(*POSITION.names).write.mode("overwrite").parquet(f"{self.path}/change-{step}")
-        changes.append({"step": step, "stream": stream, "batch": batch_id})
-        keep = _newest(changes)
-        ready = 0
-        while changes[ready] not in keep:
-            ready += 1
-        if ready:
-            base = f"base-{step}"
-            self._fold({**state, "changes": changes[:ready]}).write.mode("overwrite").parquet(f"{self.path}/{base}")
-            state = {**state, "base": base}
-        state = self._publish({**state, "changes": changes[ready:]})
-        # Readers of the three newest pointers still find what they name.
-        named = {f"change-{e['step']}" for e in state["changes"]} | {state.get("base")}
-        for name in self.folder.names():
-            kind, _, number = name.partition("-")
-            if kind in ("base", "change") and name not in named and int(number) < step - 3:
-                self.folder.remove(name)
+        streams = [name.partition("=")[2] for name in self.folder.names() if name.startswith("stream=")]
+        found = None
+        for name in streams:
+            part = self._set_by(name, before if name == stream else None)
+            if part is not None:
+                found = part if found is None else found.unionByName(part)
+        return None if found is None else latest_by_key(found, ["client_id"], WRITTEN).drop(WRITTEN)
+
+    def upsert(self, incoming: DataFrame, batch_id: int, stream: str = NO_STREAM) -> None:
+        folder = _batch_folder(stream, batch_id)
+        incoming = incoming.select(*POSITION.names)
+        # Nulls keep what any stream has stored.
+        merged = upsert_positions(self.read(batch_id, stream), incoming)
+        changed = merged.join(incoming.select("client_id"), "client_id", "left_semi")
+        changed = changed.withColumn(WRITTEN, F.lit(time.time_ns()))
+        known = upsert_rows(self._set_by(stream, batch_id), changed, ["client_id"], WRITTEN)
+        _overwrite(known.select(*self.schema.names), f"{self.path}/{folder}", [])
+        # Later ones are there only if the stream was set back; they run again.
+        for n in self._numbers(stream):
+            if not batch_id - 2 <= n <= batch_id:
+                self.folder.remove(_batch_folder(stream, n))

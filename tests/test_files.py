@@ -9,7 +9,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerline.operators.export import rotate_files
-from ledgerline.operators.filters import in_lists
+from ledgerline.operators.filters import in_lists, time_range
 from ledgerline.operators.mapping import DEFAULT_MAPPING
 from ledgerline.plans import views
 from ledgerline.plans.pipelines import IngestSettings, export_query, serve_batches
@@ -180,71 +180,96 @@ def test_batches(spark, tmp_path):
 COLUMNS = [TableColumn("k", "int64", False), TableColumn("v", "utf8")]
 
 
+def kv(spark):
+    return lambda *rows: spark.createDataFrame(list(rows), "k long, v string")
+
+
 def test_log_table(spark, tmp_path):
-    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
+    table, batch = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"]), kv(spark)
     assert table.read().count() == 0
-    batch = lambda *rows: spark.createDataFrame(list(rows), "k long, v string")
-    table.upsert(batch((1, "a"), (2, "b")), 0)
-    table.upsert(batch((2, "c"), (3, "d")), 1)
-    table.upsert(batch((2, "c"), (3, "d")), 1)
-    want = [(1, "a"), (2, "c"), (3, "d")]
-    assert sorted(map(tuple, table.read().collect())) == want
-    table.compact()
-    assert sorted(map(tuple, table.read().collect())) == want
-    table.upsert(batch((2, "c"), (3, "d")), 1)
-    table.upsert(batch((1, "z")), 2)
+    table.upsert(batch(), 0)
+    assert table.read().count() == 0
+    table.upsert(batch((1, "a"), (2, "b")), 1)
+    table.upsert(batch((2, "c"), (3, "d")), 2)
+    table.upsert(batch((2, "c"), (3, "d")), 2)
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    table.upsert(batch((1, "z")), 3)
     again = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
     assert sorted(map(tuple, again.read().collect())) == [(1, "z"), (2, "c"), (3, "d")]
+    assert again.read().columns == ["k", "v"]
 
 
-def test_log_table_packs(spark, tmp_path):
-    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"], pack_after=3)
-    batch = lambda *rows: spark.createDataFrame(list(rows), "k long, v string")
-    for i in range(6):
-        table.upsert(batch((i, f"v{i}")), i)
-    table.upsert(batch((5, "v5")), 5)
-    table.upsert(batch((0, "new")), 6)
-    assert table._current()["packs"] and [e["batch"] for e in table._current()["replacing"]] == [6]
-    want = [(0, "new"), *((i, f"v{i}") for i in range(1, 6))]
-    assert sorted(map(tuple, table.read().collect())) == want
-    table.compact()
-    assert sorted(map(tuple, table.read().collect())) == want
+def test_a_batch_that_runs_again_replaces_its_own_rows(spark, tmp_path):
+    table, batch = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"]), kv(spark)
+    table.upsert(batch((1, "a"), (2, "b")), 0)
+    table.upsert(batch((3, "x"), (4, "x")), 1)
+    table.upsert(batch((4, "y")), 1)
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "b"), (4, "y")]
+    table.upsert(batch((5, "low"), (5, "high")).withColumn("n", F.length("v")), 2, order="n")
+    assert (5, "high") in set(map(tuple, table.read().collect()))
 
 
-@pytest.mark.parametrize("pack_after,compact_after", [(256, 64), (2, 64), (256, 1)])
-def test_equal_numbers_of_two_streams_lose_nothing(spark, tmp_path, pack_after, compact_after):
+def test_equal_numbers_of_two_streams_lose_nothing(spark, tmp_path):
     """A new checkpoint, or a second stream, numbers its batches from 0 again."""
-    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"], compact_after, pack_after)
-    batch = lambda *rows: spark.createDataFrame(list(rows), "k long, v string")
+    table, batch = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"]), kv(spark)
+    other = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
     for i in range(5):
         table.upsert(batch((i, f"a{i}")), i, stream="a")
-    table.upsert(batch((10, "b0"), (0, "b0")), 0, stream="b")
+    other.upsert(batch((10, "b0"), (0, "b0")), 0, stream="b")
     table.upsert(batch((11, "c0")), 0, stream="c")
     table.upsert(batch((4, "a4")), 4, stream="a")
     table.upsert(batch((11, "c0")), 0, stream="c")
     want = [(0, "b0"), (1, "a1"), (2, "a2"), (3, "a3"), (4, "a4"), (10, "b0"), (11, "c0")]
     assert sorted(map(tuple, table.read().collect())) == want
-    table.compact()
-    table.upsert(batch((12, "a0")), 0, stream="a")
-    assert sorted(map(tuple, table.read().collect())) == [*want, (12, "a0")]
+    with pytest.raises(ValueError, match="can't name a folder"):
+        table.upsert(batch((1, "a")), 0, stream="a/b")
 
 
 def test_stored_files_hold_apart_ranges_of_the_key(spark, tmp_path):
     table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
     table.upsert(spark.range(4000).selectExpr("(id * 7919) % 4000 AS k", "'v' AS v").repartition(8), 0)
-    table.compact()
-    by_file = table.read().groupBy(F.input_file_name()).agg(F.min("k").alias("low"), F.max("k").alias("high"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    by_file = stored.groupBy(F.input_file_name()).agg(F.min("k").alias("low"), F.max("k").alias("high"))
     ranges = sorted((r.low, r.high) for r in by_file.collect())
     assert ranges[0][0] == 0 and ranges[-1][1] == 3999
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
-def test_two_writers_do_not_publish_the_same_step(spark, tmp_path):
-    table = LogTable(spark, str(tmp_path / "t"), COLUMNS, ["k"])
-    state = table._current()
-    table._publish(state)
-    with pytest.raises(FileExistsError, match="another writer"):
-        table._publish(state)
+def test_log_table_by_date(spark, tmp_path):
+    """A condition on the time reads the interval's dates of all batches, whatever the overwrite mode is."""
+    columns = [TableColumn("at", "timestamp", False), TableColumn("v", "utf8")]
+    table = LogTable(spark, str(tmp_path / "t"), columns, ["at"])
+    rows = lambda *days: spark.createDataFrame([(f"2025-01-{d:02d} 10:00:00", v) for d, v in days], "at string, v string").withColumn(
+        "at", F.col("at").cast("timestamp")
+    )
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        table.upsert(rows((1, "a"), (2, "b"), (3, "c")), 0, stream="s")
+        table.upsert(rows((2, "gone"), (3, "d")), 1, stream="s")
+        table.upsert(rows((3, "d")), 1, stream="s")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert sorted(r.v for r in table.read().collect()) == ["a", "b", "d"] and table.read().columns == ["at", "v"]
+    day = time_range(table.read(dated=True), "2025-01-02T00:00:00Z", "2025-01-03T00:00:00Z", "at", "log_date")
+    assert [r.v for r in day.collect()] == ["b"]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "log_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_positions_cut_off_while_written_are_not_read(spark, tmp_path):
+    table = PositionTable(spark, str(tmp_path / "p"))
+    row = lambda p: spark.sql(f"select 'x' client_id, '{p}' exp_pos, current_timestamp() ts_wall, 1L seqno, cast(null as timestamp) ts_orig")
+    for i in range(5):
+        table.upsert(row(f"p{i}"), i)
+    os.remove(tmp_path / "p" / "stream=none" / "batch=4" / "_SUCCESS")
+    assert [r.exp_pos for r in table.read().collect()] == ["p3"]
+    table.upsert(row("q4"), 4)
+    assert [r.exp_pos for r in table.read().collect()] == ["q4"]
+    assert sorted(os.listdir(tmp_path / "p" / "stream=none")) == ["batch=2", "batch=3", "batch=4"]
+    # Set back to batch 3: what came later runs again.
+    table.upsert(row("r3"), 3)
+    assert [r.exp_pos for r in table.read().collect()] == ["r3"]
 
 
 def test_positions_of_two_streams(spark, tmp_path):
