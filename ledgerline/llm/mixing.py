@@ -11,7 +11,9 @@ epochs first.
 
 Defined cases: null text has size 0; a null source is a source of its own, last
 in order; an empty text is taken 0 times; rows equal in id are ordered by size,
-so repeated rows are exchangeable and reruns agree; an empty table gives no rows.
+so repeated rows are exchangeable and reruns agree; an empty table gives no rows;
+a very long text is one row, cut like any other; extra columns, whatever their
+names, are ignored by the mix and kept as they are where rows are repeated.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Workings, query, table
+from ledgerline.llm.common import Workings, membership, query, table, with_maybe
 
 #: Words as the contract fixes them.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -79,7 +81,8 @@ def _key(doc_id):
 
 def mix_sources(docs: DataFrame, weights=(1, 2, 3), most: int = MOST_EPOCHS, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken."""
-    placed = _placed(docs, weights, most, rows_per_bucket)
+    docs = docs.select("doc_id", "source", "text")
+    placed = _placed(docs.withColumn("key", _key(F.col("doc_id"))), weights, most, rows_per_bucket)
     return placed.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
@@ -89,7 +92,7 @@ def _placed(docs: DataFrame, weights, most: int, rows_per_bucket: int) -> DataFr
         docs.select(
             "doc_id", "source",
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            _key(F.col("doc_id")).alias("key"),
+            "key",
         ),
         "rows",
     )
@@ -139,16 +142,26 @@ def repeat_to_mix(docs: DataFrame, weights=(1, 2, 3), most: int = MOST_EPOCHS, r
     source is taken once more up to one key, so a row needs only its source's
     epochs and that key, and texts are not shuffled while that table (a row for
     each source) is small enough for Spark to broadcast.
+
+    Rows that share an id within a source (a null one too) get keys of their own,
+    from all their columns: they spread over the order like any others, and the cut
+    falls between them. Only such rows are written once more, to be numbered: equal
+    rows are told apart by that number alone, so whichever is taken is the same row.
     """
     work = Workings("mixing")
-    placed = _placed(docs, weights, most, rows_per_bucket).filter("size > 0")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text", _name(F.col("source")).alias("name"), _key(F.col("doc_id")).alias("key"))
+    shared = work.stage(rows.groupBy("name", "key").count().filter("count > 1").select("name", "key"), "shared")
+    marked = with_maybe(rows, ["name", "key"], membership(shared, ["name", "key"]), "maybe")
+    maybe = marked.filter("maybe").drop("maybe").join(shared.withColumn("again", F.lit(True)), ["name", "key"], "left")
+    own = F.concat(F.md5(F.concat("key", F.to_json("row"))), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+    maybe = work.stage(maybe.withColumn("key", F.when(F.col("again"), own).otherwise(F.col("key"))).drop("again"), "numbered")
+    rows = marked.filter(~F.col("maybe")).drop("maybe").unionByName(maybe)
+    placed = _placed(rows, weights, most, rows_per_bucket).filter("size > 0")
     once_more = F.when(2 * (F.col("taken") - F.col("epochs") * F.col("size")) >= F.col("size"), F.col("key"))
     cuts = work.stage(placed.groupBy("name").agg(F.first("epochs").alias("epochs"), F.max(once_more).alias("cut")), "cuts")
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), _name(F.col("source")).alias("name"), _key(F.col("doc_id")).alias("key"), "text"
-    ).filter(F.col("text").rlike(WORD))
     times = (F.col("epochs") + F.coalesce(F.col("key") <= F.col("cut"), F.lit(False)).cast("long")).cast("int")
-    copies = rows.join(cuts, "name").select("row", F.explode(F.array_repeat(F.lit(0), times)))
+    worded = rows.filter(F.col("text").rlike(WORD)).select("row", "name", "key")
+    copies = worded.join(cuts, "name").select("row", F.explode(F.array_repeat(F.lit(0), times)))
     return copies.select("row.*")
 
 

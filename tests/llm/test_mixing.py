@@ -76,6 +76,20 @@ def test_repeated_rows(spark):
             assert counts.get((k, source), 0) == ((2 * taken + size) // (2 * size) if size else 0)
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+def test_rows_without_id_are_cut_apart(spark, same_text):
+    """One id for nine tenths of the rows, or all rows the same: targets are met within one row."""
+    rows = [(None, "ten words of a row that has no id " + ("here" if same_text else str(k)), "a") for k in range(300)]
+    rows += [(k, "other words of some row " * 3, s) for k in range(30) for s in ("a", "b", "c")]
+    docs = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
+    wanted = {s: t for _, s, _, _, t, _ in brute_force(rows)}
+    got, words = mx.repeat_to_mix(docs, rows_per_bucket=7), {}
+    for r in got.collect():
+        words[r.source] = words.get(r.source, 0) + len(r.text.split())
+    for source, target in wanted.items():
+        assert abs(words[source] - target) <= 15, source
+
+
 def test_few_rows(spark):
     for rows in ([], [(1, None, None)], [(1, "a b c", "s")]):
         docs = spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA)
