@@ -80,8 +80,10 @@ TEMPLATES = {
 FAMILIES = tuple(sorted(TEMPLATES))
 
 DIM_BITS = 14
-#: Paragraphs of the corpus, first in order of a hash, that are trained on as unknown.
+#: Different paragraphs of the corpus, first in order of a hash, that are trained on as
+#: unknown, and the most characters of one: longer ones aren't drawn.
 SAMPLE = 3000
+SAMPLE_CHARS = 2000
 VARIANTS = 60
 FALSE_SHARE = 0.001
 CONTAINED = 0.75
@@ -179,10 +181,27 @@ def _fit(x: np.ndarray, y: np.ndarray, classes: int, penalty: float = 2e-4, step
     return w[:-1], w[-1]
 
 
+def _drawn(docs: DataFrame, sample: int) -> list[str]:
+    """At most ``sample`` different paragraphs, the first in order of a hash.
+
+    The number of different ones says up to which hash a few more than that many
+    lie; only those leave their tasks, each text once, so what reaches the driver
+    doesn't grow with the corpus.
+    """
+    lines = _paragraphs(docs).select("text").filter(F.length("text") <= SAMPLE_CHARS)
+    order = F.xxhash64("text")
+    distinct = lines.agg(F.approx_count_distinct(order, 0.02)).first()[0]
+    some = lines.withColumn("order", order)
+    if distinct > sample:
+        share = min(1.0, 1.2 * sample / distinct)
+        some = some.filter(F.col("order") <= int(-(2**63) + share * (2**64 - 1)))
+    some = some.groupBy("order", "text").count().orderBy("order", "text").limit(sample)
+    return [r["text"] for r in some.select("text").collect()]
+
+
 def train(docs: DataFrame, sample: int = SAMPLE, seed: int = 11) -> Classifier:
     spark, rng = docs.sparkSession, random.Random(seed)
-    drawn = _paragraphs(docs).select("text", F.xxhash64("text").alias("order")).orderBy("order", "text").limit(sample)
-    prose = list(dict.fromkeys(r["text"] for r in drawn.collect()))
+    prose = _drawn(docs, sample)
     known = _hashed(spark, [s for f in FAMILIES for s in TEMPLATES[f]])
     grams = [set(g) for _, g in known]
     # Paragraphs that hold a template aren't examples of unknown ones.
@@ -224,19 +243,45 @@ def _own_pairs(sentence: str) -> tuple[Column, Column]:
     return F.array_distinct(bigrams_of(words)), F.array_distinct(bigrams_of(bare_of(words)))
 
 
+def _least(sentence: str) -> tuple[set[tuple[str, str]], int]:
+    """A template's bigrams without numbers, and how many of them a paragraph that contains it has."""
+    words = _plain_words(sentence)
+    bare = [w for w in words if not w.isdigit()]
+    full, own = set(zip(words, words[1:])), set(zip(bare, bare[1:]))
+    numbers = sum(a.isdigit() or b.isdigit() for a, b in full)
+    return own, min(math.ceil(CONTAINED * len(own)), math.ceil(CONTAINED * len(full)) - numbers)
+
+
 def _holds_some(pairs: Column) -> Column:
     """Whether bigrams without numbers are enough for some template to be contained."""
     enough = []
     for sentence in (s for f in FAMILIES for s in TEMPLATES[f]):
-        words = _plain_words(sentence)
-        bare = [w for w in words if not w.isdigit()]
-        full, own = set(zip(words, words[1:])), set(zip(bare, bare[1:]))
-        numbers = sum(a.isdigit() or b.isdigit() for a, b in full)
-        least = min(math.ceil(CONTAINED * len(own)), math.ceil(CONTAINED * len(full)) - numbers)
-        enough.append(F.size(F.array_intersect(_own_pairs(sentence)[1], pairs)) >= least)
+        enough.append(F.size(F.array_intersect(_own_pairs(sentence)[1], pairs)) >= _least(sentence)[1])
     return F.array_contains(F.array(*enough), True)
 
 
+def _key_words() -> list[str]:
+    """Words of which every paragraph that contains a template has at least one.
+
+    A paragraph that lacks as many of a template's bigrams as it may still has one
+    of any set larger than that; of each template the longest bigrams are that set,
+    and the longer word stands for a bigram.
+    """
+    found = set()
+    for own, least in map(_least, (s for f in FAMILIES for s in TEMPLATES[f])):
+        ranked = sorted(own, key=lambda p: (-len(p[0]) - len(p[1]), p))
+        found |= {max(pair, key=len) for pair in ranked[: len(own) - least + 1]}
+    return sorted(found)
+
+
+def _has_key_word(spark: SparkSession):
+    """A test of words that leaves out most paragraphs without a notice, and none with one."""
+    buckets = np.zeros(1 << DIM_BITS, int)
+    buckets[[b for found, _ in _hashed(spark, _key_words()) for b in found]] = 1
+    is_key = _literal(buckets, "int")
+    return lambda words: F.exists(words, lambda w: F.get(is_key, _bucket(F.xxhash64(w))).isNotNull())
+
+
 def _runs(docs: DataFrame) -> DataFrame:
     """Runs of two or more lines of a block that may hold a notice together: doc_id, of, paragraph, last, words."""
     spark = docs.sparkSession
@@ -249,8 +294,10 @@ def _runs(docs: DataFrame) -> DataFrame:
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"(?im)^[ \t]*(?:rem|dnl)\b", "")
     rows = docs.select("doc_id", F.xxhash64("text").alias("of"), text.alias("text")).filter(F.col("text").contains("\n"))
     some = F.array_distinct(F.filter(bigrams_of(F.col("bare")), lambda h: F.get(is_known, _bucket(h)).isNotNull()))
-    rows = rows.withColumn("words", words_of(F.col("text"))).withColumn("bare", bare_of(F.col("words")))
     # Arrays of one are exploded for the same reason as in the scoring.
+    has_key = _has_key_word(spark)
+    rows = rows.select("doc_id", "of", "text", F.explode(F.filter(F.array(words_of(F.col("text"))), has_key)).alias("words"))
+    rows = rows.withColumn("bare", bare_of(F.col("words")))
     rows = rows.select("doc_id", "of", "text", F.explode(F.array(some)).alias("some")).filter(F.size("some") > 0).filter(_holds_some(F.col("some")))
 
     def brief(words: Column) -> Column:
@@ -319,7 +366,8 @@ def _scored(rows: DataFrame, model: Classifier, keys: list[str]) -> DataFrame:
     place[active] = np.arange(1, len(active) + 1)
     # Bucket -> row of weights (null for most), found by position in a literal; a weight of 0 is null too.
     row_of = _literal(place, "int")
-    grams = _grams(rows)
+    has_key = _has_key_word(rows.sparkSession)
+    grams = _grams(rows.select(*keys, F.explode(F.filter(F.array("words"), has_key)).alias("words")))
     hits = F.filter(F.transform(F.concat("ones", "pairs"), lambda h: F.get(row_of, _bucket(h))), lambda r: r.isNotNull())
     # A paragraph without any such n-gram is unknown by its bias alone. Exploding
     # an array of one keeps later filters from computing what they test once more.
