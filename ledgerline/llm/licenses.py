@@ -25,7 +25,9 @@ Features are hashed by the same expressions in training.
 Defined cases: null text counts as empty; documents without a licence have an empty
 list; paragraphs are numbered from 0, blank ones too; rows equal in id share their
 findings; without any paragraphs to sample the templates alone are trained on;
-extra columns are ignored.
+very long texts are read whole, line by line, and only lines of more than
+``SAMPLE_CHARS`` characters aren't drawn for training; an empty table gives no rows;
+extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -43,15 +45,22 @@ from ledgerline.llm.common import Workings, query, table
 
 # Sentences of public licence notices.
 TEMPLATES = {
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0",
+    ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "SPDX-License-Identifier: Apache-2.0",
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Released under the BSD 3-Clause License.",
         "Licensed under the BSD license.",
+        "SPDX-License-Identifier: BSD-3-Clause",
     ),
     "cc_by": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -61,21 +70,53 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC 4.0.",
     ),
+    "cc_by_nc_nd": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-NC-ND 4.0.",
+    ),
+    "cc_by_nc_sa": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "Licensed under CC BY-NC-SA 4.0.",
+    ),
+    "cc_by_nd": (
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "Licensed under CC BY-ND 4.0.",
+    ),
     "cc_by_sa": (
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
         "Licensed under CC BY-SA 4.0.",
     ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: GPL-3.0",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "Licensed under the ISC license.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "lgpl": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: LGPL-3.0",
     ),
     "mit": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "SPDX-License-Identifier: MIT",
+    ),
+    "mpl": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
     ),
-    "mpl": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "reserved": ("All rights reserved.",),
+    "unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 FAMILIES = tuple(sorted(TEMPLATES))
 
@@ -143,7 +184,10 @@ def _hashed(spark: SparkSession, texts: list[str]) -> list[tuple[list[int], list
 
 
 def _variants(prose: list[str], rng: random.Random) -> list[tuple[str, int]]:
-    """Template sentences as they are, shortened by a word, and embedded in prose."""
+    """Template sentences as they are, shortened by a word, and embedded in prose.
+
+    A word that tells a family from a related one (lesser, say) is not left out.
+    """
     words = [w for t in prose for w in t.split()] or ["text"]
     made = []
     for label, family in enumerate(FAMILIES):
@@ -152,7 +196,10 @@ def _variants(prose: list[str], rng: random.Random) -> list[tuple[str, int]]:
             for k in range(VARIANTS):
                 own = sentence.split()
                 if len(own) > 8 and k % 3 == 0:
-                    del own[rng.randrange(len(own))]
+                    at = rng.randrange(len(own))
+                    left = set(_plain_words(" ".join(own[:at] + own[at + 1 :])))
+                    if not any(set(_plain_words(t)) <= left for f in FAMILIES if f != family for t in TEMPLATES[f]):
+                        del own[at]
                 if k % 2:  # other versions
                     own = [VERSION.sub(f"{rng.randrange(1, 5)}.{rng.choice('005')}", w) for w in own]
                 some = lambda: [rng.choice(words) for _ in range(rng.randrange(0, 25))]

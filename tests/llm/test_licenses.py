@@ -119,3 +119,43 @@ def test_other_versions(spark, model):
     ]
     got = {r.doc_id: r.families for r in lc.licenses(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
     assert got == {1: ["cc_by"], 2: ["cc_by"], 3: ["cc_by_sa"], 4: ["gpl"]}
+
+
+def test_related_licences_are_told_apart(spark, model):
+    want = {
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.": "lgpl",
+        "This program is licensed under the GNU Affero General Public License, version 3.": "agpl",
+        "This text is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.": "cc_by_nc_sa",
+        "Licensed under CC BY-NC-SA 3.0.": "cc_by_nc_sa",
+        "Licensed under CC BY-ND 4.0.": "cc_by_nd",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided": "isc",
+        "// SPDX-License-Identifier: MIT": "mit",
+        "# SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies it": "epl",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+    }
+    wrapped = """ * you can redistribute it and/or modify
+ * it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either"""
+    rows = [*enumerate(want), (100, wrapped), (101, "The GNU project and the Lesser General of a public office, version 3"), (102, "an Eclipse of the public sun")]
+    got = {r.doc_id: r.families for r in lc.licenses(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for k, text in enumerate(want):
+        assert got[k] == [want[text]], (text, got[k])
+    assert got[100] == ["lgpl"] and got[101] == [] and got[102] == []
+
+
+def test_the_sample_is_bounded(spark):
+    rows = [(k, f"a line of number {k}\n" + "same line\n" * 5 + "long " * 1000) for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    drawn = lc._drawn(docs, 100)
+    assert 80 <= len(drawn) <= 100 and len(set(drawn)) == len(drawn) and max(map(len, drawn)) <= lc.SAMPLE_CHARS
+    assert drawn == lc._drawn(docs.repartition(7), 100)
+    assert len(lc._drawn(docs, 5000)) == 801
+
+
+def test_key_words_leave_out_no_template(spark):
+    keys = set(lc._key_words())
+    for sentence in (s for f in lc.FAMILIES for s in lc.TEMPLATES[f]):
+        own, least = lc._least(sentence)
+        without = [p for p in own if not keys & set(p)]
+        assert len(without) < least, sentence
