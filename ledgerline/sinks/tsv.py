@@ -214,17 +214,30 @@ class TsvSource(DataSource):
         return TsvWriter(dict(self.options))
 
 
+def _resolved(spark, path: str) -> str:
+    """The path with its scheme, as the rest of Spark resolves it; through mounts to where they lead."""
+    at, below = spark._jvm.org.apache.hadoop.fs.Path(path), ""
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    at = fs.makeQualified(at)
+    if at.toUri().getScheme() == "viewfs":
+        while not fs.exists(at):
+            at, below = at.getParent(), f"/{at.getName()}{below}"
+        at = fs.resolvePath(at)
+    full = at.toString().rstrip("/") + below
+    return "/" + full.removeprefix("file:").lstrip("/") if full.startswith("file:") else full
+
+
 def _qualified(spark, path: str) -> str:
-    """The path with its scheme, as the rest of Spark resolves it.
+    """The resolved path, which executors write to themselves.
 
-    Executors write there themselves, so on a cluster it can't be a local folder.
+    On a cluster a local folder has to be in one that the session shares: the
+    checkpoint folder or the warehouse.
     """
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    full = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
-    if full.startswith("file:"):
-        if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+    full = _resolved(spark, path)
+    if full.startswith("/") and not (spark.conf.get("spark.master", "") or "").startswith("local"):
+        roots = filter(None, (spark.conf.get(f"spark.{name}.dir", None) for name in ("checkpoint", "sql.warehouse")))
+        if not any(f"{full}/".startswith(f"{_resolved(spark, root)}/") for root in roots):
             raise ValueError(f"{path} is a local folder: executors of a cluster can't share it")
-        return "/" + full.removeprefix("file:").lstrip("/")
     return full
 
 

@@ -14,6 +14,7 @@ from ledgerline.operators.mapping import DEFAULT_MAPPING
 from ledgerline.plans import views
 from ledgerline.plans.pipelines import IngestSettings, export_query, serve_batches
 from ledgerline.schema import TableColumn
+from ledgerline.session import scratch_path
 from ledgerline.sinks.tables import LogTable, PositionTable
 from ledgerline.sinks import tsv
 from ledgerline.sinks.tsv import ExportStats, export_prefix, finish_exports, write_tsv, write_tsv_zstd
@@ -334,3 +335,29 @@ def test_position_table(spark, tmp_path):
     table.upsert(row("p3"), 1)
     assert table.read().first().exp_pos == "p3"
     assert table.read(before=1).first().exp_pos == "p1"
+
+
+@pytest.fixture
+def on_a_cluster(spark):
+    """A new path in the shared folder, while the session says that it runs on a cluster."""
+    path, before = scratch_path(spark, "exports"), spark.conf.get("spark.master")
+    spark.conf.set("spark.master", "spark://elsewhere:7077")
+    yield path.removeprefix("file://")
+    spark.conf.set("spark.master", before)
+
+
+@pytest.mark.parametrize("write,ending", [(write_tsv, "tsv"), (write_tsv_zstd, "tsv.zst")])
+def test_a_cluster_exports_to_its_shared_folder(spark, on_a_cluster, tmp_path, write, ending):
+    for path in (f"file://{on_a_cluster}/out", f"{on_a_cluster}/out"):
+        assert write(spark.range(3), path, "out", ["id"], partitions=1).rows_written == 3
+        assert os.listdir(f"{on_a_cluster}/out") == [f"out_000001.{ending}"]
+    with pytest.raises(ValueError, match="local folder"):
+        write(spark.range(3), str(tmp_path), "out", ["id"])
+
+
+@pytest.mark.parametrize("write,ending", [(write_tsv, "tsv"), (write_tsv_zstd, "tsv.zst")])
+def test_export_through_a_mount(spark, tmp_path, write, ending):
+    mount = ending.replace(".", "-")
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{mount}.link./in", f"file://{tmp_path}")
+    assert write(spark.range(3), f"viewfs://{mount}/in/new/out", "out", ["id"], partitions=1).rows_written == 3
+    assert os.listdir(tmp_path / "new" / "out") == [f"out_000001.{ending}"]
