@@ -12,6 +12,9 @@ task, the work is split by segment:
 3. per segment, the actual cuts for the carried state.
 
 Only order and sizes go through Python; full rows meet the cuts in a window.
+
+A stream may fall into epochs, at whose first rows a batch ends in any case. They
+are cuts like others: a segment is one group however many epochs it holds.
 """
 
 from __future__ import annotations
@@ -43,11 +46,12 @@ class FirstCuts:
 
     A state is ``(used, real)``: bytes of the open batch including its
     envelope, and its number of cursor-bearing rows. ``reach`` is what a row
-    brings the stretch to, with its cursor as the batch's last.
+    brings the stretch to, with its cursor as the batch's last. Epochs never fall.
     """
 
-    def __init__(self, reach, real, max_rows, max_bytes):
+    def __init__(self, reach, real, max_rows, max_bytes, epochs=None):
         self.n = len(reach)
+        self.epochs = np.zeros(self.n, np.int64) if epochs is None else epochs
         self.max_rows, self.max_bytes = max_rows, max_bytes
         self.reach = reach
         self.peak = np.maximum.accumulate(reach) if self.n else reach
@@ -72,30 +76,36 @@ class FirstCuts:
         by_count = self._row_of_real(np.maximum(start_reals + self.max_rows - reals_before, 0))
         return np.minimum(by_bytes, by_count)
 
-    def first_cuts(self, used, real):
-        """The first cut for each of many states; ``n`` where there is none."""
+    def first_cuts(self, used, real, epoch=None):
+        """The first cut for each of many states; ``n`` where there is none.
+
+        ``epoch`` is the one that all of them are in: that of the first row, if not given.
+        """
         floors = np.where(real > 0, 0, int(self._row_of_real(np.array([0]))[0]) + 1)
-        return self._break(self.max_bytes - used, real, floors, np.zeros_like(real))
+        cuts = self._break(self.max_bytes - used, real, floors, np.zeros_like(real))
+        epoch = self.epochs[0] if epoch is None else epoch
+        return np.minimum(cuts, np.searchsorted(self.epochs, epoch, "right"))
 
-    def first_cut(self, used: int, real: int) -> int:
-        return int(self.first_cuts(np.array([used], np.int64), np.array([real], np.int64))[0])
+    def first_cut(self, used: int, real: int, epoch: int | None = None) -> int:
+        return int(self.first_cuts(np.array([used], np.int64), np.array([real], np.int64), epoch)[0])
 
 
 class SegmentCuts(FirstCuts):
     """Next-fit over one segment's rows, for any state carried into it."""
 
-    def __init__(self, size, next_size, open_size, real, max_rows, max_bytes):
+    def __init__(self, size, next_size, open_size, real, max_rows, max_bytes, epochs=None):
         self.open_size = open_size
         self.size_before = np.concatenate(([0], np.cumsum(size + 1)))
         self.real_before = np.concatenate(([0], np.cumsum(real)))
-        super().__init__(self.size_before[1:] + next_size, real, max_rows, max_bytes)
+        super().__init__(self.size_before[1:] + next_size, real, max_rows, max_bytes, epochs)
 
     def next_cuts(self):
         rows = np.arange(self.n)
         before = self.real_before[:-1]
         floors = self._row_of_real(before) + 1
         limits = self.max_bytes - self.open_size + self.size_before[:-1]
-        return self._break(limits, np.zeros_like(rows), np.maximum(floors, rows + 1), before)
+        cuts = self._break(limits, np.zeros_like(rows), np.maximum(floors, rows + 1), before)
+        return np.minimum(cuts, np.searchsorted(self.epochs, self.epochs, "right"))
 
     def chains(self):
         """For each row as a batch start: the last start and the number of cuts after it."""
@@ -119,7 +129,7 @@ class SegmentCuts(FirstCuts):
 
 
 def _cuts_of(rows: pd.DataFrame, max_rows: int, max_bytes: int) -> tuple[pd.DataFrame, SegmentCuts]:
-    rows = rows.sort_values("order", kind="stable", ignore_index=True)
+    rows = rows.sort_values(["order", "epoch"], kind="stable", ignore_index=True)
     cuts = SegmentCuts(
         rows["size"].to_numpy(),
         rows["next_size"].to_numpy(),
@@ -127,6 +137,7 @@ def _cuts_of(rows: pd.DataFrame, max_rows: int, max_bytes: int) -> tuple[pd.Data
         rows["real"].to_numpy().astype(np.int64),
         max_rows,
         max_bytes,
+        rows["epoch"].to_numpy(),
     )
     return rows, cuts
 
@@ -140,6 +151,10 @@ def _candidates(max_rows: int, max_bytes: int):
         take = np.arange(last_possible + 1)
         last, hops = cuts.chains()
         used, real = cuts.state_after(last[take])
+        # A chain that enters a later epoch counts from where the last epoch begins.
+        epoch, ends_in = cuts.epochs[take], cuts.epochs[-1]
+        fresh = epoch != ends_in
+        hops = np.where(fresh, hops[np.searchsorted(cuts.epochs, ends_in, "left")], hops[take])
         return pd.DataFrame(
             {
                 "client": key[0],
@@ -148,11 +163,14 @@ def _candidates(max_rows: int, max_bytes: int):
                 "n_rows": cuts.n,
                 "reach": cuts.reach[take],
                 "real": (cuts.real_before[1:] - cuts.real_before[:-1])[take],
-                "hops": hops[take],
+                "hops": hops,
                 "used_after": used,
                 "real_after": real,
                 "size_total": cuts.size_before[-1],
                 "real_total": cuts.real_before[-1],
+                "epoch": epoch,
+                "fresh": fresh,
+                "epoch_after": ends_in,
             }
         )
 
@@ -161,7 +179,8 @@ def _candidates(max_rows: int, max_bytes: int):
 
 CANDIDATE = (
     "client string, segment bigint, row bigint, n_rows bigint, reach bigint, real bigint, "
-    "hops bigint, used_after bigint, real_after bigint, size_total bigint, real_total bigint"
+    "hops bigint, used_after bigint, real_after bigint, size_total bigint, real_total bigint, "
+    "epoch bigint, fresh boolean, epoch_after bigint"
 )
 
 
@@ -173,14 +192,22 @@ def fold_cuts(tables: list[pd.DataFrame], max_rows: int, max_bytes: int) -> pd.D
     return whole
 
 
+def _first_cuts(table: pd.DataFrame, max_rows: int, max_bytes: int) -> FirstCuts:
+    return FirstCuts(table["reach"].to_numpy(), table["real"].to_numpy(), max_rows, max_bytes, table["epoch"].to_numpy())
+
+
 def _joined(a: pd.DataFrame, b: pd.DataFrame, max_rows: int, max_bytes: int) -> pd.DataFrame:
     used, real = a["used_after"].to_numpy(), a["real_after"].to_numpy()
-    cut = FirstCuts(b["reach"].to_numpy(), b["real"].to_numpy(), max_rows, max_bytes).first_cuts(used, real)
+    epoch = int(a["epoch_after"].iloc[0])
+    cut = _first_cuts(b, max_rows, max_bytes).first_cuts(used, real, epoch)
     # Without a cut in ``b`` its rows join the open batch.
     inside, at = cut < len(b), np.minimum(cut, len(b) - 1)
+    fresh = inside & (b["fresh"].to_numpy()[at] | (b["epoch"].to_numpy()[at] != epoch))
+    hops = np.where(fresh, 0, a["hops"].to_numpy() + inside) + np.where(inside, b["hops"].to_numpy()[at], 0)
     size_b, real_b = int(b["size_total"].iloc[0]), int(b["real_total"].iloc[0])
     rows = a.assign(
-        hops=a["hops"].to_numpy() + np.where(inside, 1 + b["hops"].to_numpy()[at], 0),
+        hops=hops,
+        fresh=a["fresh"].to_numpy() | fresh,
         used_after=np.where(inside, b["used_after"].to_numpy()[at], used + size_b),
         real_after=np.where(inside, b["real_after"].to_numpy()[at], real + real_b),
     )
@@ -188,33 +215,37 @@ def _joined(a: pd.DataFrame, b: pd.DataFrame, max_rows: int, max_bytes: int) ->
     if len(a) == n_a:
         # Some state passes ``a`` without a cut: the first one may be in ``b``.
         rows = pd.concat([rows, b.assign(reach=b["reach"] + size_a)], ignore_index=True)
-        last = FirstCuts(rows["reach"].to_numpy(), rows["real"].to_numpy(), max_rows, max_bytes).first_cut(0, 0)
+        last = _first_cuts(rows, max_rows, max_bytes).first_cut(0, 0)
         rows = rows.iloc[: last + 1]
     return rows.assign(
-        row=np.arange(len(rows)), n_rows=n_a + int(b["n_rows"].iloc[0]), size_total=size_a + size_b, real_total=real_a + real_b
+        row=np.arange(len(rows)), n_rows=n_a + int(b["n_rows"].iloc[0]), size_total=size_a + size_b, real_total=real_a + real_b,
+        epoch_after=int(b["epoch_after"].iloc[0]),
     )
 
 
 def _step(max_rows: int, max_bytes: int):
     def step(state, table: pd.DataFrame):
-        used, real, number = state if state is not None else (None, 0, 0)
+        used, real, number, epoch = state if state is not None else (None, 0, 0, None)
         if used is None:
             # The first row opens the batch of that number.
             cut, number = 0, int(number) - 1
         else:
             used, real = int(used), int(real)
-            cut = FirstCuts(table["reach"].to_numpy(), table["real"].to_numpy(), max_rows, max_bytes).first_cut(used, real)
+            cut = _first_cuts(table, max_rows, max_bytes).first_cut(used, real, epoch)
         head = table.iloc[0]
+        after = int(head["epoch_after"])
         if cut == len(table):
-            return used + int(head["size_total"]), real + int(head["real_total"]), int(number)
+            return used + int(head["size_total"]), real + int(head["real_total"]), int(number), after
         at = table.iloc[cut]
-        return int(at["used_after"]), int(at["real_after"]), int(number) + 1 + int(at["hops"])
+        fresh = at["fresh"] or (epoch is not None and at["epoch"] != epoch)
+        return int(at["used_after"]), int(at["real_after"]), (0 if fresh else int(number) + 1) + int(at["hops"]), after
 
     return step
 
 
 #: The open batch: its bytes (null: none is open yet), its rows with a cursor, its number.
 STATE = "used bigint, real bigint, number bigint"
+_CARRIED = f"{STATE}, epoch bigint"
 
 
 def _starts(max_rows: int, max_bytes: int):
@@ -224,26 +255,29 @@ def _starts(max_rows: int, max_bytes: int):
         rows, cuts = _cuts_of(rows, max_rows, max_bytes)
         state = states.iloc[0]
         number = 0 if pd.isna(state["number"]) else int(state["number"])
+        epochs = cuts.epochs.tolist()
+        epoch = epochs[0] if pd.isna(state["epoch"]) else int(state["epoch"])
         if pd.isna(state["used"]):
             cut, opened = 0, []
             number -= 1
         else:
-            cut = cuts.first_cut(int(state["used"]), int(state["real"]))
+            cut = cuts.first_cut(int(state["used"]), int(state["real"]), epoch)
             # The carried batch opens the segment.
-            opened = [(None, number)]
-        following = cuts.next_cuts()
-        order = rows["order"].to_numpy()
+            opened = [(None, number, epoch)]
+        following = cuts.next_cuts().tolist()
+        order = rows["order"].tolist()
         while cut < cuts.n:
-            number += 1
-            opened.append((int(order[cut]), number))
-            cut = int(following[cut])
-        out = pd.DataFrame(opened, columns=["order", "batch_no"]).astype({"order": "Int64"})
-        return out.assign(client=key[0], segment=key[1])[["client", "segment", "order", "batch_no"]]
+            number = number + 1 if epochs[cut] == epoch else 0
+            epoch = epochs[cut]
+            opened.append((order[cut], number, epoch))
+            cut = following[cut]
+        out = pd.DataFrame(opened, columns=["order", "batch_no", "epoch"]).astype({"order": "Int64"})
+        return out.assign(client=key[0], segment=key[1])[["client", "segment", "order", "batch_no", "epoch"]]
 
     return run
 
 
-START = "client string, segment bigint, order bigint, batch_no bigint"
+START = "client string, segment bigint, order bigint, batch_no bigint, epoch bigint"
 
 
 def wire_sizes(client: str, position: str, cursor: str, size: Column | None = None) -> dict[str, Column]:
@@ -272,7 +306,7 @@ def batch_split(
     width: int = BATCH_SEGMENT_WIDTH,
     start: DataFrame | None = None,
     fan: int = FAN,
-    key: str | None = None,
+    epoch: str | None = None,
 ) -> DataFrame:
     """Add ``batch_no``, counted from 0 per client.
 
@@ -280,14 +314,15 @@ def batch_split(
     of JSON. Rows without a cursor ride along and never fill a batch alone: a
     trailing batch of only such rows is still pending (``batch_envelopes``
     leaves it out). A single row over the limit fails the query. ``start``
-    (client and ``STATE``) continues batches that are open already. With ``key``,
-    streams are told apart by that column rather than by client.
+    (client and ``STATE``) continues batches that are open already. ``epoch`` names a
+    number that never falls along a stream: where it grows a batch begins, and
+    batches are counted from 0 again.
     """
-    key = key or client
     sizes = wire_sizes(client, position, cursor, size)
     narrow = with_segment(
         df.select(
-            F.col(key).alias("client"), F.col(order).alias("order"), *[c.alias(n) for n, c in sizes.items()]
+            F.col(client).alias("client"), F.col(order).alias("order"), *[c.alias(n) for n, c in sizes.items()],
+            (F.col(epoch) if epoch else F.lit(0)).cast("bigint").alias("epoch"),
         ),
         "order",
         width,
@@ -307,22 +342,25 @@ def batch_split(
     )
     grouped = narrow.groupBy("client", "segment")
     maps = stage(grouped.applyInPandas(_candidates(batch_size, max_bytes), CANDIDATE), "cuts")
+    if start is not None:
+        start = start.withColumn("epoch", F.lit(None).cast("bigint"))
     states = states_before(
-        maps, lambda tables: fold_cuts(tables, batch_size, max_bytes), _step(batch_size, max_bytes), start, STATE, ["row"], "cuts", fan
+        maps, lambda tables: fold_cuts(tables, batch_size, max_bytes), _step(batch_size, max_bytes), start, _CARRIED, ["row"], "cuts", fan
     )
     starts = grouped.cogroup(states.groupBy("client", "segment")).applyInPandas(
         _starts(batch_size, max_bytes), START
     )
     # Rows and starts meet in one window: the last start at or before a row.
     marks = starts.select(
-        F.col("client").alias(key),
+        F.col("client").alias(client),
         F.col("segment").alias(SEGMENT),
         F.col("order").alias(order),
         F.col("batch_no").alias("batch_no"),
+        *([F.col("epoch").alias(epoch)] if epoch else []),
         F.lit(False).alias("_is_row"),
     )
     rows = with_segment(df, order, width).withColumn("_is_row", F.lit(True))
-    window = Window.partitionBy(key, SEGMENT).orderBy(F.col(order).asc_nulls_first(), "_is_row")
+    window = Window.partitionBy(client, SEGMENT).orderBy(F.col(order).asc_nulls_first(), *([epoch] if epoch else []), "_is_row")
     together = rows.unionByName(marks, allowMissingColumns=True)
     return (
         together.withColumn("batch_no", F.last("batch_no", ignorenulls=True).over(window))

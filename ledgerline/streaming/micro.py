@@ -161,12 +161,12 @@ def batch_step(
         marked = stage(running_count(marked, discards, "_epoch", client, order, names.width), "epochs")
     else:
         marked = marked.withColumn("_epoch", F.lit(0).cast("bigint"))
-    # An epoch (between two discards) is a stream of its own: its first row opens a batch.
-    lines = marked.filter(F.col("_control").isNull()).withColumn("_stream", F.concat_ws("\x1f", client, "_epoch"))
+    # The first row of an epoch (between two discards) opens a batch, and its batches count from 0.
+    lines = marked.filter(F.col("_control").isNull())
     split = batch_split(
-        lines, batch_size, max_bytes, client, order, names.position, names.cursor, size, names.batch_width, key="_stream"
+        lines, batch_size, max_bytes, client, order, names.position, names.cursor, size, names.batch_width, epoch="_epoch"
     ).withColumnRenamed("batch_no", "_batch")
-    split = stage(split.drop("_stream", "_control"), "split")
+    split = stage(split.drop("_control"), "split")
     batches = split.groupBy(F.col(client).alias("client_id"), "_epoch", "_batch").agg(
         F.min(order).alias("_first"), F.max(order).alias("_end"), F.min("_seen").alias("_since"),
         F.count_if(F.coalesce(F.col(names.cursor) != "", F.lit(False))).alias("_reals"),

@@ -267,3 +267,34 @@ def test_missing_client_id(spark):
 def test_continuity_gaps(spark, sf, width):
     envelopes = views.envelopes(spark, sf).drop("n_records")
     assert rows(stats.continuity_gaps(envelopes, width)) == rows(stats.continuity_gaps(envelopes))
+
+
+@pytest.mark.parametrize("width,fan", [(3, 2), (16, 4), (1 << 20, 16)])
+@pytest.mark.parametrize("limits", [(6, 1 << 30), (0, 500), (4, 450)])
+def test_epochs_cut_inside_a_stream(spark, width, fan, limits, monkeypatch):
+    """As if each epoch were a client of its own, but a group is a client's segment."""
+    rng, data, epoch = random.Random(width), [], {"a": 0, "b": 7}
+    for i in range(260):
+        client = "b" if i % 10 == 3 else "a"
+        epoch[client] += rng.choice((1, 3)) if rng.random() < (0.02 if 80 < i < 180 else 0.3) else 0
+        data.append((client, i, f"c{i - 1}", f"c{i}" if rng.random() < 0.8 else None, rng.randint(10, 90), epoch[client]))
+    df = spark.createDataFrame(data, "client_id string, seqno long, position string, cursor string, size long, epoch long")
+    own = df.withColumn("client_id", F.concat("client_id", F.lpad(F.col("epoch").cast("string"), 3, "0")))
+    # Sizes count the client's name, so names of the same length make the same cuts.
+    df = df.withColumn("client_id", F.concat("client_id", F.lit("000")))
+    want = {r.seqno: r.batch_no for r in batching.batch_split(own, *limits, size=F.col("size")).collect()}
+    groups, starts = spark.sparkContext.accumulator(0), batching._starts
+
+    def counted(*args):
+        run = starts(*args)
+
+        def one(key: tuple, rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+            groups.add(1)
+            return run(key, rows, states)
+
+        return one
+
+    monkeypatch.setattr(batching, "_starts", counted)
+    split = batching.batch_split(df, *limits, size=F.col("size"), width=width, fan=fan, epoch="epoch")
+    assert {r.seqno: r.batch_no for r in split.collect()} == want
+    assert groups.value == len({(r[0], r[1] // width) for r in data})
