@@ -67,6 +67,20 @@ def tasks_for(spark: SparkSession, rows: int, each: int = ROWS_PER_TASK) -> int:
     return max(spark.sparkContext.defaultParallelism, math.ceil(rows / each))
 
 
+#: Rows of a few numbers and digests that one task may hold.
+ROWS_IN_ONE = 1 << 16
+
+
+def together(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in one partition if it has so few rows, else as it is.
+
+    Steps over one partition need no shuffle. Each shuffle takes a thread of the driver,
+    kept for a minute, so hundreds of them over next to no rows cost it more memory than
+    those over many.
+    """
+    return df.coalesce(1) if rows <= ROWS_IN_ONE else df
+
+
 class Workings:
     """Tables written to the shared folder while an operator builds its plan.
 

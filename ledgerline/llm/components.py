@@ -5,6 +5,7 @@ rounds grows with the logarithm of the component sizes. A star is one written
 table, and what tells whether a round changed anything is observed while it is
 written. Joins are sort-merge at every size, so that adaptive execution can split
 the edges of a hub and nothing that grows with the edges goes through the driver.
+Stars on few edges are one task each.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import Workings, tasks_for
+from ledgerline.llm.common import Workings, tasks_for, together
 
 MOST_ROUNDS = 60
 
@@ -25,12 +26,12 @@ def _written(work: Workings, edges: DataFrame, tasks: int | None = None) -> tupl
     return stored, (seen.get["n"], seen.get["hashes"])
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star operation on edges (u, v), u != v."""
+def _star(edges: DataFrame, n: int, large: bool) -> DataFrame:
+    """One star operation on ``n`` edges (u, v), u != v."""
     if large:
-        sides = edges.union(edges.select("v", "u"))
+        sides = together(edges.union(edges.select("v", "u")), 2 * n)
     else:
-        sides = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        sides = together(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), n)
     least = sides.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     joined = sides.join(least.hint("merge"), "u")
     if large:
@@ -50,7 +51,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
         for large in (True, False):
             # A star has no more edges than it was made from.
-            after, now = _written(work, _star(edges, large), tasks_for(edges.sparkSession, now[0]))
+            after, now = _written(work, _star(edges, now[0], large), tasks_for(edges.sparkSession, now[0]))
             work.drop(edges)
             edges = after
     else:

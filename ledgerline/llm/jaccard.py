@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import FILTER_BITS, Workings, membership, query, table, tasks_for, texts, with_maybe
+from ledgerline.llm.common import FILTER_BITS, Workings, membership, query, table, tasks_for, texts, together, with_maybe
 from ledgerline.llm.components import components
 
 WORDS = 5
@@ -296,24 +296,28 @@ def _classes(
     rows, n_rows = work.stage_counted(_meeting(described.select("node", "size", "there", "bits", F.explode("paths").alias("key"))), "level")
     kept, candidates, alike_rows = [], [], []
     for level in range(1, MOST_LEVELS + 1):
-        # Later levels have few rows: they are written by as few tasks as they need.
+        # Later levels have few rows: they are written by as few tasks as they need, and very few
+        # are worked on in one. What follows has no more rows than the level until paths are extended.
         tasks = tasks_for(docs.sparkSession, n_rows)
-        sizes = work.stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets", tasks)
-        counted = work.stage(rows.join(_sorted(sizes), "key"), "counted", tasks)
+        sizes = work.stage(together(rows, n_rows).groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets", tasks)
+        counted = work.stage(together(rows, n_rows).join(_sorted(together(sizes, n_rows)), "key"), "counted", tasks)
         work.drop(rows, sizes)
         kept.append(counted)
-        candidates.append(_pairs(counted.filter(F.col("n") <= small).drop("n"), threshold))
-        large = counted.filter(F.col("n") > small).select("key", "node", "bits")
+        near = together(counted, n_rows)
+        candidates.append(_pairs(near.filter(F.col("n") <= small).drop("n"), threshold))
+        large = near.filter(F.col("n") > small).select("key", "node", "bits")
         alike = work.stage(_alike(large, level == MOST_LEVELS), "alike", tasks)
-        alike_rows.append(large.select("key", "node").join(_sorted(alike.filter("dense").select("key")), "key"))
-        open_rows = large.select("key", "node").join(_sorted(alike.filter("NOT dense").select("key")), "key")
+        judged = together(alike, n_rows)
+        alike_rows.append(large.select("key", "node").join(_sorted(judged.filter("dense").select("key")), "key"))
+        open_rows = large.select("key", "node").join(_sorted(judged.filter("NOT dense").select("key")), "key")
         paths, n_open = work.stage_counted(open_rows.groupBy("node").agg(F.collect_list("key").alias("paths")), "open", tasks)
         if not n_open:
             break
-        longer = _sorted(paths).join(_sets_of(described, paths.select("node"), bits), "node").mapInArrow(_extend(threshold), "node binary, key long")
+        held = together(paths, n_open)
+        longer = _sorted(held).join(_sets_of(described, held.select("node"), bits), "node").mapInArrow(_extend(threshold), "node binary, key long")
         longer, n_longer = work.stage_counted(longer, "longer", tasks_for(docs.sparkSession, n_open, SETS_PER_TASK))
-        known = with_maybe(faces, ["node"], membership(paths, ["node"], bits), "maybe", bits).filter("maybe").drop("maybe")
-        met = _meeting(longer).join(_sorted(known.dropDuplicates(["node"])), "node").select("node", "size", "there", "bits", "key")
+        known = with_maybe(faces, ["node"], membership(held, ["node"], bits), "maybe", bits).filter("maybe").drop("maybe")
+        met = _meeting(together(longer, n_longer)).join(_sorted(known.dropDuplicates(["node"])), "node").select("node", "size", "there", "bits", "key")
         rows, n_rows = work.stage_counted(met, "level", tasks_for(docs.sparkSession, n_longer))
         work.drop(paths, longer)
 

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from ledgerline.llm import common
 from ledgerline.llm import jaccard as jc
 from ledgerline.llm.components import components
 
@@ -108,3 +109,22 @@ def test_components(spark):
                 want[x] = a
                 todo += near[x]
     assert got == want
+
+
+def test_stars_on_few_edges_do_not_shuffle(spark, monkeypatch):
+    """A job for each table that is written, not one more for each shuffle; many edges shuffle as before."""
+    edges = spark.createDataFrame([(f"n{i:03d}", f"n{i + 1:03d}") for i in range(40) if i % 13], "u string, v string")
+    want = sorted((n, f"n{max(k for k in (1, 14, 27) if k <= int(n[1:])):03d}") for n in {x for r in edges.collect() for x in r})
+    written, stage = [], common.Workings.stage
+    monkeypatch.setattr(common.Workings, "stage", lambda self, *a, **k: written.append(1) or stage(self, *a, **k))
+    few, jobs = common.ROWS_IN_ONE, {}
+    for rows in (few, 0):
+        monkeypatch.setattr(common, "ROWS_IN_ONE", rows)
+        written.clear()
+        spark.sparkContext.setJobGroup(f"stars {rows}", "")
+        found = components(edges)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs[rows] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"stars {rows}")) / len(written)
+        assert sorted(map(tuple, found.collect())) == want
+    # The edges as they are given are made distinct in one shuffle.
+    assert jobs[few] < 1.5 and jobs[0] > 2
