@@ -434,10 +434,17 @@ def _node(text: pd.Series) -> pd.Series:
     return text.map(lambda t: _digest(shingles(t)))
 
 
+def _same(doc_id, node):
+    """What rows equal in id and shingles share; a null id is left out, so it is equal to itself only."""
+    return F.concat_ws(":", doc_id, F.hex(node)).alias("same")
+
+
 def drop_near_duplicates(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """One row of each class (the one with the least doc_id), with all columns of ``docs``.
 
-    Rows that are surely alone in their class pass as they are; only others shuffle.
+    Rows that are surely alone in their class pass as they are; only others shuffle,
+    once. No condition of the match but its key is on the digests: one that reached the
+    scan would compute them twice there, with a second Python worker in each task.
     """
     work = Workings("jaccard")
     grouped = _classes(docs).filter("copies > 1 OR n_links > 0")
@@ -445,13 +452,10 @@ def drop_near_duplicates(docs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     grouped = work.stage(grouped.select("doc_id", "node", stays.alias("stays")).distinct(), "grouped")
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     marked = with_maybe(rows, ["doc_id"], membership(grouped.select("doc_id"), ["doc_id"], bits), "maybe", bits)
-    suspects = marked.filter("maybe").select("row", F.col("doc_id").alias("id"), _node("text").alias("digest"))
-    judged = suspects.join(
-        _sorted(grouped), suspects["id"].eqNullSafe(grouped["doc_id"]) & (suspects["digest"] == grouped["node"]), "left"
-    )
-    alone = judged.filter(F.col("stays").isNull())
-    heads = judged.filter("stays").dropDuplicates(["id", "digest"])
-    return marked.filter("NOT maybe").select("row.*").unionByName(alone.select("row.*")).unionByName(heads.select("row.*"))
+    suspects = marked.filter("maybe").select("row", _same(F.col("doc_id"), _node("text"))).dropDuplicates(["same"])
+    known = grouped.select(_same(F.col("doc_id"), F.col("node")), "stays")
+    stay = suspects.join(_sorted(known), "same", "left").filter("coalesce(stays, true)")
+    return marked.filter("NOT maybe").select("row.*").unionByName(stay.select("row.*"))
 
 
 @query("op5_jaccard_join")

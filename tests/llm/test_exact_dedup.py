@@ -52,6 +52,12 @@ def test_rows_that_stay(spark, bits):
     assert sorted((str(r.doc_id) for r in stay.collect())) == sorted(str(w[0]) for w in brute_force(rows) if w[3])
 
 
+def test_suspects_are_read_once(spark, capsys):
+    """Rows that surely stay and suspects: two scans, whatever is decided about the suspects."""
+    xd.drop_exact_duplicates(frame(spark, corpus())).explain()
+    assert capsys.readouterr().out.count("Scan ExistingRDD") == 2
+
+
 def test_empty_table(spark):
     assert xd.exact_groups(frame(spark, [])).count() == 0
     assert xd.drop_exact_duplicates(frame(spark, [])).count() == 0

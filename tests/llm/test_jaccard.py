@@ -91,6 +91,23 @@ def test_one_of_each_class_stays(spark):
     assert sorted(r.doc_id for r in stay.collect()) == sorted({r[4] for r in brute_force(rows)})
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 22])
+def test_odd_rows_that_stay(spark, bits):
+    """Null ids, ids with two texts, rows that come again; by few bits all rows are suspects."""
+    same, other = "one two three four five six seven", "quite another text of six words"
+    rows = [(1, same), (1, same), (1, other), (2, same), (None, same), (None, "no id here"), (None, "no id here"), (3, "alone"), (4, None), (5, ""), (6, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stay = sorted(map(tuple, jc.drop_near_duplicates(docs, bits).collect()), key=str)
+    assert stay == sorted([(1, same), (1, other), (None, "no id here"), (3, "alone"), (4, None)], key=str)
+
+
+def test_digests_are_computed_once(spark, capsys):
+    """One Python worker a task: each evaluation in a stage takes a worker of its own, which the executor keeps."""
+    rows = [(k, t, k) for k, t in corpus()]
+    jc.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, n long")).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1300)] + [(2000 + r.randrange(99), 2000 + r.randrange(99)) for _ in range(80)]
